@@ -7,10 +7,40 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import leaks, pii, runs, textform
+from chatloom.llm import langs, leaks, pii, runs, textform
 from chatloom.sources.tables import table
 
 
+def _documents_model(spark: SparkSession, d: str) -> langs.Automata:
+    return langs.fit_documents(langs.document_sample(table(spark, d, "documents")))
+
+
+def _turns(spark: SparkSession, d: str, model: langs.Automata) -> DataFrame:
+    turns = table(spark, d, "parsed_messages").where("message_type = 'text'").select("message_uid", "text")
+    given = table(spark, d, "turn_languages").select("message_uid", "classification")
+    return langs.turn_classes(turns.join(given, "message_uid", "left"), _names(spark, d), model)
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    model = _documents_model(spark, d)
+    t = _turns(spark, d, model)
+    missing = F.coalesce(F.col("given"), F.lit("")).isin("", "unknown") | (F.trim("given") == "")
+    turns = t.where(missing | ((F.col("class") != F.col("given")) & F.col("sure"))).select(F.col("message_uid").cast("string").alias("record_id"), F.lit(0).alias("segment_no"), F.col("class").alias("label"))
+    s = langs.document_languages(table(spark, d, "documents"), machine=model)
+    docs = s.where(F.col("given").isNull() | (F.col("segments") > 1) | (F.col("given") != F.col("language")))
+    return turns.distinct().unionByName(docs.select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("record_id"), "segment_no", F.col("language").alias("label")))
+
+
+def p1_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Each document's stretches with language and confidence."""
+    return langs.document_languages(table(spark, d, "documents"), machine=_documents_model(spark, d))
+
+
+def p1_turns(spark: SparkSession, d: str) -> DataFrame:
+    """Each turn's class with its confidence beside the given label."""
+    return _turns(spark, d, _documents_model(spark, d)).distinct()
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return runs.collapse_runs(table(spark, d, "messages")).select("source_file", "first_message_id", "last_message_id")
 
@@ -62,6 +92,7 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found, "p1_segments": p1_segments, "p1_turns": p1_turns,
     "p2_found": p2_found, "p2_runs": p2_runs, "p6_found": p6_found, "p6_masked": p6_masked,
     "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found, "p10_classes": p10_classes,
 }
