@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatloom.llm import langs, leaks, pii, runs, textform
+from chatloom.llm import clusters, langs, leaks, packing, pii, runs, splits, textform
+from chatloom.runtime import persisted
 from chatloom.sources.tables import table
 
 
@@ -50,6 +51,56 @@ def p2_runs(spark: SparkSession, d: str) -> DataFrame:
     return runs.collapse_runs(table(spark, d, "messages"))
 
 
+SPLIT_KEYS = ["source_file", "conversation_id", "pair_id"]
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    r = splits.linked_values(table(spark, d, "context_pairs"), "source_file", SPLIT_KEYS)
+    return r.select(F.col("a").alias("file_a"), F.col("b").alias("file_b"))
+
+
+def p3_splits(spark: SparkSession, d: str) -> DataFrame:
+    """Each row's component and split."""
+    return splits.grouped_split(table(spark, d, "context_pairs"), SPLIT_KEYS).select(*SPLIT_KEYS, "component", "split")
+
+
+def p3_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Rows by split."""
+    return splits.grouped_split(table(spark, d, "context_pairs").select(*SPLIT_KEYS), SPLIT_KEYS).groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _peaks(spark: SparkSession, d: str) -> DataFrame:
+    return persisted(clusters.density_peaks(table(spark, d, "train_target_vectors")), "peaks")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return clusters.exact_groups(_peaks(spark, d)).select(F.col("first_id").alias("first_pair_id"), F.col("id").alias("pair_id"))
+
+
+def p4_assignments(spark: SparkSession, d: str) -> DataFrame:
+    """Each record's cluster and similarity to its centroid."""
+    m = clusters.cluster_members(_peaks(spark, d))
+    return m.select(F.col("cluster_id"), F.col("id").alias("pair_id"), F.round("similarity_to_centroid", 4).alias("similarity_to_centroid"))
+
+
+def p4_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Each cluster's size and most typical members."""
+    c = clusters.described(clusters.cluster_members(_peaks(spark, d)))
+    return c.select("cluster_id", "size", F.to_json("typical").alias("typical"))
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Each document, or piece of a long one, with its container."""
+    return packing.pack(packing.token_counts(table(spark, d, "documents")), "doc_id", "tokens")
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers used and space left in them, beside the least number possible."""
+    p = p8_containers(spark, d).groupBy("container").agg(F.sum("tokens").alias("used"), F.count(F.lit(1)).alias("items"))
+    a = p.agg(F.count(F.lit(1)).alias("containers"), F.sum("used").alias("tokens"), F.sum(F.lit(packing.CAPACITY) - F.col("used")).alias("unused"), F.max("used").alias("fullest"))
+    return a.withColumn("least_containers", F.ceil(F.col("tokens") / F.lit(packing.CAPACITY)))
+
+
 def _names(spark: SparkSession, d: str) -> pii.Names:
     return pii.learn_names(pii.speakers_of([(table(spark, d, t), "sender") for t in ("messages", "parsed_messages")]))
 
@@ -93,7 +144,9 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found, "p1_segments": p1_segments, "p1_turns": p1_turns,
-    "p2_found": p2_found, "p2_runs": p2_runs, "p6_found": p6_found, "p6_masked": p6_masked,
+    "p2_found": p2_found, "p2_runs": p2_runs, 
+    "p3_found": p3_found, "p3_splits": p3_splits, "p3_shares": p3_shares, "p4_found": p4_found, "p4_assignments": p4_assignments,
+    "p4_clusters": p4_clusters, "p8_containers": p8_containers, "p8_fill": p8_fill, "p6_found": p6_found, "p6_masked": p6_masked,
     "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found, "p10_classes": p10_classes,
 }
 
