@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatloom.plans import general
+from chatloom.plans import archive, dataset, general
 
-MODULES = [general]
+MODULES = [archive, dataset, general]
 
 
 def queries() -> dict:
