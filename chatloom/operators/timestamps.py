@@ -271,6 +271,6 @@ def normalise_timestamps(messages: DataFrame, files: DataFrame, ts: str = "times
             utc, st = parse(as_object(t), as_object(z_), as_object(o_))
             yield pd.DataFrame({"utc_micros": pd.Series(utc, dtype="int64").astype("Int64").where(pd.Series(st == "ok"), pd.NA), "ts_status": st})
 
-    parsed = F.pandas_udf(run, "utc_micros long, ts_status string")
+    parsed = F.pandas_udf(run, "utc_micros long, ts_status string").asNondeterministic()  # else a filter on the result runs it twice
     out = joined.withColumn("__p", parsed(F.col(ts), F.col("__zone"), F.col("__order")))
     return out.select(*[F.col(f"`{c}`") for c in fields], F.col("__p.utc_micros").alias("utc_micros"), F.col("__p.ts_status").alias("ts_status"))
