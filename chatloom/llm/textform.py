@@ -17,6 +17,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.runtime import persisted
+
 # Letters of other scripts whose print shape is that of a Latin letter.
 LOOK_ALIKES = dict(zip("аеорсухіѕјһԁԛԝАВЕКМНОРСТХІЅЈУѴ", "aeopcyxisjhdqwABEKMHOPCTXISJYV", strict=True)) | dict(
     zip("οΑΒΕΖΗΙΚΜΝΟΡΤΥΧϲ", "oABEZHIKMNOPTYXc", strict=True)
@@ -132,7 +134,7 @@ def text_forms(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             forms = [None if t is None else one_form(t) for t in s]
             yield pd.DataFrame({"form": [None if not f or not f.strip() else digest(f) for f in forms], "raw": [None if t is None else digest(t) for t in s]})
 
-    d = docs.select(F.col(key).alias("k"), F.pandas_udf(run, "form binary, raw binary")(F.col(text)).alias("r"))
+    d = docs.select(F.col(key).alias("k"), F.pandas_udf(run, "form binary, raw binary").asNondeterministic()(F.col(text)).alias("r"))
     return d.select(F.col("k").alias(key), "r.form", "r.raw").where(F.col("form").isNotNull())
 
 
@@ -148,7 +150,7 @@ def same_look_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     Exact copies are folded into one variant before variants of one look are paired, so a text copied any number
     of times costs nothing unless it also has a variant.
     """
-    f = text_forms(docs, key, text).distinct()
+    f = persisted(text_forms(docs, key, text).distinct(), "forms")  # read several times
     variants = f.select("form", "raw").distinct()
     many = variants.groupBy("form").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("form")
     v = variants.join(many, "form", "left_semi")
@@ -160,6 +162,6 @@ def same_look_pairs(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
 def look_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, class_id (smallest key of the look), class_size, variants: one row per document with text."""
-    f = text_forms(docs, key, text).distinct()
+    f = persisted(text_forms(docs, key, text).distinct(), "forms")  # read several times
     c = f.groupBy("form").agg(F.min(key).alias("class_id"), F.count(F.lit(1)).alias("class_size"), F.count_distinct("raw").alias("variants"))
     return f.join(c, "form").select(key, "class_id", "class_size", "variants")
