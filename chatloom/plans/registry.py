@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatloom.plans import archive, dataset, general
+from chatloom.plans import archive, dataset, general, profiles
 
-MODULES = [archive, dataset, general]
+MODULES = [archive, dataset, profiles, general]
 
 
 def queries() -> dict:
