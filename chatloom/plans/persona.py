@@ -1,0 +1,165 @@
+"""Queries on style, examples, retrieval, evaluation, reports and streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from chatloom.functions import masking
+from chatloom.operators import archive as A
+from chatloom.operators import evaluate as E
+from chatloom.operators import report as R
+from chatloom.operators import style as S
+from chatloom.operators import vectors as V
+from chatloom.plans.archive import _M
+from chatloom.plans.profiles import F0, _features
+from chatloom.sources.tables import table
+from chatloom.streaming.sessions import session_windows
+
+
+def _pairs(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "context_pairs").distinct()
+
+
+def _examples(spark: SparkSession, d: str) -> DataFrame:
+    f = S.candidates(_features(spark, d)).groupBy("pair_id").agg(F.min(F.struct("target_text", "context_text", "word_count")).alias("r")).select("pair_id", "r.*")
+    c = table(spark, d, "cluster_assignments").groupBy("pair_id").agg(F.min("cluster_id").alias("cluster_id"))
+    return f.join(c, "pair_id").join(V.usable(table(spark, d, "train_target_vectors")), "pair_id")
+
+
+def style_tags(spark: SparkSession, d: str) -> DataFrame:
+    f = _features(spark, d)
+    return f.withColumn("tag", F.explode(S.style_tags(f))).groupBy("tag").agg(F.count(F.lit(1)).alias("turns"))
+
+
+def exemplar_candidates(spark: SparkSession, d: str) -> DataFrame:
+    c = S.candidates(_features(spark, d), blocked=(r"(?i)password",))
+    return c.groupBy(S.exemplar_bin(F.col("word_count")).alias("length_bin")).agg(F.count(F.lit(1)).alias("pairs"))
+
+
+def anonymized_contexts(spark: SparkSession, d: str) -> DataFrame:
+    return _pairs(spark, d).select("pair_id", "source_file", "conversation_id", S.anonymized_context(F.col("context_text")).alias("context"))
+
+
+def anonymized_ids(spark: SparkSession, d: str) -> DataFrame:
+    return S.anonymized_ids(_pairs(spark, d))
+
+
+def mmr_exemplars(spark: SparkSession, d: str) -> DataFrame:
+    return S.exemplars(_examples(spark, d))
+
+
+def exemplar_diversity(spark: SparkSession, d: str) -> DataFrame:
+    e = _examples(spark, d)
+    return V.mean_similarity(S.exemplars(e).join(e.select("pair_id", "v"), "pair_id"))
+
+
+def _index(spark: SparkSession, d: str) -> DataFrame:
+    e = _examples(spark, d)
+    return S.style_index(S.exemplars(e).join(e.select("pair_id", "target_text"), "pair_id"), e)
+
+
+def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
+    i = _index(spark, d)
+    return S.search(i, i.orderBy("pair_id").first()["v"], 5)
+
+
+def retrieval_gate(spark: SparkSession, d: str) -> DataFrame:
+    g = F.coalesce(S.retrieval_gate(F.col("text")), F.lit("search"))
+    return A.deliver_once(table(spark, d, "messages")).groupBy(g.alias("gate")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+def _evaluated(spark: SparkSession, d: str) -> DataFrame:
+    return E.failures(E.judge(E.pair_metrics(E.candidate_texts(_pairs(spark, d).select("pair_id", "source_file", "conversation_id", "target_text", "context_text")))))
+
+
+def pair_metrics(spark: SparkSession, d: str) -> DataFrame:
+    return E.batch_means(_evaluated(spark, d))
+
+
+def judge_scores(spark: SparkSession, d: str) -> DataFrame:
+    e = _evaluated(spark, d)
+    return e.groupBy("strategy").agg(*[F.round(F.avg(c), 4).alias(c) for c in ("tone", "brevity", "punctuation_mark", "wording", "presence", "judged")])
+
+
+def failure_tags(spark: SparkSession, d: str) -> DataFrame:
+    return E.failure_report(_evaluated(spark, d))
+
+
+def failure_examples(spark: SparkSession, d: str) -> DataFrame:
+    return E.failure_examples(_evaluated(spark, d).dropDuplicates(["strategy", "pair_id"]))
+
+
+def strategy_summary(spark: SparkSession, d: str) -> DataFrame:
+    return E.summary(_evaluated(spark, d))
+
+
+def behaviour_gap(spark: SparkSession, d: str) -> DataFrame:
+    """Each turn against the means of its label."""
+    f = _features(spark, d)
+    dims = ("directness", "verbosity", "hedging", "humor", "question_initiative", "expressiveness")
+    m = f.groupBy("label").agg(*[F.avg(x).alias("t_" + x) for x in dims])
+    j = f.select("label", *[F.col(x).alias("c_" + x) for x in dims]).join(m, "label")
+    return E.behaviour_gap(j, dims).groupBy("label").agg(F.round(F.avg("mae"), 4).alias("mae"), F.round(F.avg("behaviour_cosine"), 4).alias("cosine"), F.round(F.avg("behaviour"), 4).alias("behaviour"))
+
+
+def global_style(spark: SparkSession, d: str) -> DataFrame:
+    return R.global_style(_features(spark, d))
+
+
+def situational_style(spark: SparkSession, d: str) -> DataFrame:
+    return R.situational_style(_features(spark, d))
+
+
+def evidence(spark: SparkSession, d: str) -> DataFrame:
+    f = _features(spark, d)
+    return R.evidence(R.global_style(f), R.situational_style(f))
+
+
+def package_artifacts(spark: SparkSession, d: str) -> DataFrame:
+    f = _features(spark, d)
+    g, s = R.global_style(f), R.situational_style(f)
+    return R.artifacts(g, s, R.evidence(g, s)).select("name", F.length("content").alias("characters"), "sha256")
+
+
+def privacy_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Hits of a block list in masked and unmasked contexts, by source."""
+    p = _pairs(spark, d).where("source_file is not null").select("source_file", F.coalesce("context_text", F.lit("")).alias("a")).withColumn("b", masking.mask(F.col("a")))
+    blocked = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+    return p.groupBy("source_file").agg(F.sum(F.regexp_count("a", F.lit(blocked))).alias("before"), F.sum(F.regexp_count("b", F.lit(blocked))).alias("after"))
+
+
+def session_windows_batch(spark: SparkSession, d: str) -> DataFrame:
+    return session_windows(A.deliver_once(table(spark, d, "messages")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        style_tags, exemplar_candidates, anonymized_contexts, anonymized_ids, mmr_exemplars, exemplar_diversity, hybrid_search, retrieval_gate, pair_metrics, judge_scores, failure_tags, failure_examples,
+        strategy_summary, behaviour_gap, global_style, situational_style, evidence, package_artifacts, privacy_audit, session_windows_batch,
+    )
+}
+
+
+_GATE = "case when t = '' then 'empty' when trim(lower(regexp_replace(t, '[^\\p{L}\\p{N} ]', '', 'g'))) in ('hi','hello','hey','ok','okk','hmm','haha','lol','gm','gn') then 'trivial_ping' when not regexp_matches(t, '[\\p{L}\\p{N}]') then 'no_words' when len(list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '')) < 2 then 'too_short' else 'search' end"
+_DIMS = ("directness", "verbosity", "hedging", "humor", "question_initiative", "expressiveness")
+
+SQL = {
+    "style_tags": F0 + """, x as (select unnest(list_distinct([y for y in [case when all_lower then 'lowercase' end, case when all_upper then 'uppercase' end, case when not all_lower and not all_upper then 'mixed_case' end, case when not terminal_mark then 'no_terminal_mark' end,
+        case when many_questions then 'many_questions' end, case when many_exclamations then 'many_exclamations' end, case when has_ellipsis then 'ellipsis' end, case when has_emoji then 'emoji' end, case when has_elongation then 'elongation' end,
+        case when has_abbreviation then 'abbreviation' end, language, clause, case when message_count > 1 then 'burst' end] if y is not null])) as tag from f) select tag, count(*) as turns from x group by 1""",
+    "exemplar_candidates": F0 + """, x as (select f.*, p.context_text from f join (select distinct pair_id, source_file, conversation_id, target_text, context_text from context_pairs) p on f.pair_id = p.pair_id and f.source_file is not distinct from p.source_file and f.conversation_id is not distinct from p.conversation_id and f.target_text is not distinct from p.target_text)
+        select case when word_count <= 4 then 'short' when word_count <= 14 then 'medium' else 'long' end as length_bin, count(*) as pairs from x where word_count between 1 and 120 and regexp_replace(coalesce(context_text, ''), '^\\s+|\\s+$', '', 'g') <> '' and not regexp_matches(coalesce(target_text, ''), '(?i)begin:vcard') and not regexp_matches(concat_ws(chr(10), context_text, target_text), '(?i)password') group by 1""",
+    "anonymized_contexts": """with p as (select distinct * from context_pairs) select pair_id, source_file, conversation_id, regexp_replace(array_to_string(list_transform(string_split(context_text, chr(10)), lambda x: case when x like 'You: %' then x else regexp_replace(x, '^[^:\\n]{1,60}: ', 'Friend: ') end), chr(10)), '(^|\\s)@[\\p{L}\\p{N}_]+', '\\1@[NAME]', 'g') as context from p""",
+    "anonymized_ids": "select source_file, printf('chat_%02d', dense_rank() over (order by source_file)) as anonymous from (select distinct source_file from context_pairs where source_file is not null)",
+    "retrieval_gate": _M + f", x as (select regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') as t from one) select {_GATE} as gate, count(*) as messages from x group by 1",
+    "global_style": F0 + """, g as (select count(*) as turns, round(avg(word_count), 2) as mean_words, avg(all_lower::int) as lower, 1 - avg(terminal_mark::int) as open_ended, avg(has_emoji::int) as emoji, avg(has_elongation::int) as elongation, avg(humor) as humor, avg((language = 'code_switched')::int) as mixed, avg(hedging) as hedging, avg(question_initiative) as asking from f)
+        select turns, mean_words, round(lower, 4) as lower, round(open_ended, 4) as open_ended, round(emoji, 4) as emoji, round(elongation, 4) as elongation, round(humor, 4) as humor, round(mixed, 4) as mixed, round(hedging, 4) as hedging, round(asking, 4) as asking, round(greatest(0.0, 1 - (0.6::double * open_ended + 0.4::double * lower)), 4) as formality, round(0.8::double * humor, 4) as sarcasm from g""",
+    "situational_style": F0 + """, a as (select situation, arg_max(primary_act, (n, primary_act)) as top_act from (select situation, primary_act, count(*) as n from f group by 1, 2) group by 1)
+        select situation, count(*) as turns, round(avg(word_count), 2) as mean_words, round(avg(has_emoji::int), 4) as emoji, round(avg(all_lower::int), 4) as lower, any_value(top_act) as top_act, round(count(*) / (select count(*) from f), 4) as prevalence from f join a using (situation) group by situation""",
+    "behaviour_gap": F0 + ", m as (select label, " + ", ".join(f"avg({x}) as t_{x}" for x in _DIMS) + " from f group by 1), j as (select label, (" + " + ".join(f"abs({x} - t_{x})" for x in _DIMS) + f") / {len(_DIMS)} as mae, " + " + ".join(f"{x} * t_{x}" for x in _DIMS) + " as d, sqrt(" + " + ".join(f"{x} * {x}" for x in _DIMS) + ") as na, sqrt(" + " + ".join(f"t_{x} * t_{x}" for x in _DIMS) + ") as nb, case when hedging > t_hedging then 0.1::double else 0 end as h from f join m using (label)), k as (select label, round(mae, 6) as mae, mae as e, case when na > 0 and nb > 0 then d / (na * nb) else 0 end as c, h from j) select label, round(avg(mae), 4) as mae, round(avg(round(c, 6)), 4) as cosine, round(avg(round(greatest(0.0, 0.5::double * (1 - e) + 0.5::double * c - h), 6)), 4) as behaviour from k group by 1",
+    "session_windows_batch": _M + """, marked as (select *, case when timestamp - lag(timestamp) over (partition by source_file order by timestamp) < interval 4 hour then 0 else 1 end as n from one where timestamp is not null),
+        s as (select *, sum(n) over (partition by source_file order by timestamp rows unbounded preceding) as i from marked) select source_file, min(timestamp) as session_start, max(timestamp) as session_end, count(*) as message_count from s group by source_file, i""",
+}
+

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatloom.plans import archive, dataset, general, profiles
+from chatloom.plans import archive, dataset, general, persona, profiles
 
-MODULES = [archive, dataset, profiles, general]
+MODULES = [archive, dataset, profiles, persona, general]
 
 
 def queries() -> dict:
