@@ -81,7 +81,7 @@ def parse_judgement(reply: Column, fallback: Column) -> Column:
     """Score of a judge's JSON reply, clamped to 1 to 5; the fallback where there is none."""
     inner = F.regexp_extract(reply, r"(?s)(\{.*\})", 1)
     s = F.from_json(inner, "score double")["score"]
-    return F.coalesce(F.least(F.lit(5.0), F.greatest(F.lit(1.0), s)), fallback)
+    return F.when(s.isNotNull(), F.least(F.lit(5.0), F.greatest(F.lit(1.0), s))).otherwise(fallback)
 
 
 def failures(rows: DataFrame, candidate: str = "candidate", target: str = "target", context: str = "context", lex: Lexicon = DEFAULT) -> DataFrame:
