@@ -81,11 +81,20 @@ def row_issues(messages: DataFrame, large: int = 20_000) -> DataFrame:
     return messages.select("message_id", "source_file", F.explode(found).alias("issue"))
 
 
-def order_issues(messages: DataFrame) -> DataFrame:
-    """message_id, source_file, issue: a timestamp before the last one of its file, and lines that overlap the previous ones."""
-    w = Window.partitionBy("source_file").orderBy("raw_line_start", "message_id")
+def order_issues(messages: DataFrame, block: int = 10_000) -> DataFrame:
+    """message_id, source_file, issue: a timestamp before the last one of its file, and lines that overlap the previous ones.
+
+    Files are looked at in blocks of lines; what a block has to know of the ones before it is one row per block.
+    """
+    d = messages.withColumn("__b", F.floor(F.coalesce("raw_line_start", F.lit(0)) / F.lit(block))).withColumn("__key", F.coalesce("source_file", F.lit("\0")))
+    at = F.struct("raw_line_start", "message_id")
+    ends = d.groupBy("__key", "__b").agg(F.max_by("timestamp", F.when(F.col("timestamp").isNotNull(), at)).alias("ts"), F.max_by("raw_line_end", at).alias("end"))
+    bw = Window.partitionBy("__key").orderBy("__b")
+    ends = ends.select("__key", "__b", F.last("ts", ignorenulls=True).over(bw.rowsBetween(Window.unboundedPreceding, -1)).alias("carried_ts"), F.lag("end").over(bw).alias("carried_end"))
+    w = Window.partitionBy("__key", "__b").orderBy("raw_line_start", "message_id")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    d = messages.withColumn("last_ts", F.last("timestamp", ignorenulls=True).over(before)).withColumn("last_end", F.lag("raw_line_end").over(w))
+    d = d.join(ends, ["__key", "__b"])
+    d = d.withColumn("last_ts", F.coalesce(F.last("timestamp", ignorenulls=True).over(before), "carried_ts")).withColumn("last_end", F.when(F.row_number().over(w) == 1, F.col("carried_end")).otherwise(F.lag("raw_line_end").over(w)))
     found = F.array_compact(F.array(F.when(F.col("timestamp") < F.col("last_ts"), "timestamp_backward"), F.when(F.col("raw_line_start") <= F.col("last_end"), "line_overlap")))
     return d.select("message_id", "source_file", F.explode(found).alias("issue"))
 

@@ -10,19 +10,22 @@ from chatloom.functions import text as T
 GAP_SECONDS = 4 * 3600
 
 
-def ordered(messages: DataFrame) -> DataFrame:
-    """Messages with a timestamp, with seq, their place inside the file by time and id."""
-    w = Window.partitionBy("source_file").orderBy("timestamp", "message_id")
-    return messages.where(F.col("timestamp").isNotNull()).withColumn("seq", F.row_number().over(w))
-
-
 def conversations(messages: DataFrame, gap_seconds: int = GAP_SECONDS) -> DataFrame:
-    """ordered() with session_index and conversation_id `file:c0001`; a step of the gap or more starts a new one."""
-    w = Window.partitionBy("source_file").orderBy("seq")
-    step = F.unix_micros("timestamp") - F.lag(F.unix_micros("timestamp")).over(w)
-    new = F.coalesce((step >= gap_seconds * 1_000_000).cast("int"), F.lit(1))
-    d = ordered(messages).withColumn("__new", new).withColumn("session_index", F.sum("__new").over(w)).drop("__new")
-    return d.withColumn("conversation_id", F.format_string("%s:c%05d", "source_file", "session_index"))
+    """Messages with a timestamp, with session_index, conversation_id `file:c00001` and seq, their place in the conversation.
+
+    A step of the gap or more starts a new one. All messages of a file within one span as long as the gap are in one
+    session, so only one row per file and span is ordered by file; messages are ordered within their conversation.
+    """
+    gap = gap_seconds * 1_000_000
+    us = F.unix_micros("timestamp")
+    m = messages.where(F.col("timestamp").isNotNull()).withColumn("__span", F.floor(us / F.lit(gap))).withColumn("__key", F.coalesce("source_file", F.lit("\0")))
+    spans = m.groupBy("__key", "__span").agg(F.min(us).alias("lo"), F.max(us).alias("hi"))
+    w = Window.partitionBy("__key").orderBy("__span")
+    spans = spans.withColumn("new", F.coalesce((F.col("lo") - F.lag("hi").over(w) >= gap).cast("int"), F.lit(1)))
+    spans = spans.select("__key", "__span", F.sum("new").over(w).alias("session_index"))
+    d = m.join(spans, ["__key", "__span"]).drop("__key", "__span")
+    d = d.withColumn("conversation_id", F.format_string("%s:c%05d", "source_file", "session_index"))
+    return d.withColumn("seq", F.row_number().over(Window.partitionBy("conversation_id").orderBy("timestamp", "message_id")))
 
 
 def headers(sessions: DataFrame) -> DataFrame:
