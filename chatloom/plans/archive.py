@@ -23,16 +23,17 @@ ONE = """one as (select * exclude (copy) from (select *, row_number() over (part
 # ---- reading raw exports -----------------------------------------------------------------------------------------
 
 
-def export_files_of(parsed: DataFrame) -> DataFrame:
-    """source_file, content: exports written from messages of one notation, to be read again."""
-    head = F.concat(F.lit("["), F.date_format("ts", "M/d/yy, h:mm:ss a"), F.lit("] "), F.coalesce(F.concat(F.col("sender"), F.lit(": ")), F.lit("")), F.coalesce("text", F.lit("")))
-    return parsed.groupBy("source_file").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "message_id", head.alias("t")))), lambda x: x["t"]), "\n").alias("content"))
+def export_lines(messages: DataFrame) -> DataFrame:
+    """source_file, line_no, line: canonical messages written as the lines of exports, numbered by message and line."""
+    head = F.concat(F.lit("["), F.date_format("timestamp", "M/d/yy, h:mm:ss a"), F.lit("] "), F.coalesce(F.concat(F.col("sender"), F.lit(": ")), F.lit("")), F.col("text"))
+    n = F.element_at(F.split("message_id", ":"), -1).cast("long")
+    d = messages.where("timestamp is not null and text is not null").select("source_file", n.alias("n"), F.posexplode(F.split(head, "\n")).alias("p", "line"))
+    return d.select("source_file", (F.col("n") * 1000 + F.col("p")).alias("line_no"), "line")
 
 
 def parse_exports(spark: SparkSession, d: str) -> DataFrame:
-    """Exports of the canonical archive, framed into messages again: one row per message with its lines."""
-    m = _messages(spark, d).where("timestamp is not null and text is not null").select("source_file", "message_id", F.col("timestamp").alias("ts"), "sender", "text", F.col("raw_line_start").alias("ord"))
-    p = exports.parse(exports.lines(export_files_of(m)))
+    """The canonical archive written as export lines and framed into messages again, by file."""
+    p = exports.parse(export_lines(_messages(spark, d)))
     return p.groupBy("source_file").agg(F.count(F.lit(1)).alias("parsed"), F.sum(F.col("raw_line_end") - F.col("raw_line_start") + 1).cast("long").alias("line_total"), F.count_if("is_media").alias("media"), F.count_if("is_forwarded").alias("forwarded"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
 
 

@@ -49,10 +49,17 @@ def message_type(text: F.Column) -> F.Column:
     return out.otherwise("text")
 
 
-def parse(numbered: DataFrame) -> DataFrame:
-    """Messages of numbered lines: a line with a header starts one, others continue it; columns of a parsed message."""
-    w = Window.partitionBy("source_file").orderBy("line_no")
-    framed = numbered.withColumn("head", F.col("line").rlike(HEADER)).withColumn("message_id", F.sum(F.col("head").cast("int")).over(w))
+def parse(numbered: DataFrame, block: int = 100_000) -> DataFrame:
+    """Messages of numbered lines: a line with a header starts one, others continue it; columns of a parsed message.
+
+    Headers are counted within blocks of lines, and one row per block carries the count on.
+    """
+    d = numbered.withColumn("head", F.col("line").rlike(HEADER)).withColumn("__b", F.floor(F.col("line_no") / F.lit(block)))
+    one = F.col("head").cast("int")
+    bw = Window.partitionBy("source_file").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = d.groupBy("source_file", "__b").agg(F.sum(one).alias("n")).select("source_file", "__b", F.coalesce(F.sum("n").over(bw), F.lit(0)).alias("__before"))
+    w = Window.partitionBy("source_file", "__b").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    framed = d.join(before, ["source_file", "__b"]).withColumn("message_id", F.col("__before") + F.sum(one).over(w))
     own = framed.where("message_id > 0").withColumn("part", F.when(F.col("head"), F.regexp_extract("line", HEADER, 3)).otherwise(F.col("line")))
     g = own.groupBy("source_file", "message_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("line_no", "part"))), lambda x: x["part"]).alias("parts"), F.min("line_no").alias("raw_line_start"), F.max("line_no").alias("raw_line_end"),
