@@ -311,6 +311,12 @@ _CAT = "[x for x in [" + ", ".join(f"case when len(string_split(m, '{k}')) > len
 SQL = {
     "parse_exports": _M + """select source_file, count(*) as parsed, sum(1 + length(text) - length(replace(text, chr(10), '')))::bigint as line_total,
         count(*) filter (is_media) as media, count(*) filter (text like '[Forwarded]%' ) as forwarded, min(timestamp) as first_ts, max(timestamp) as last_ts from one where timestamp is not null and text is not null group by source_file""",
+    "type_classifier": "with x as (select regexp_replace(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '(?i)^\\[forwarded\\]\\s*', '') as t from messages where text is not null) select case when regexp_full_match(t, '(?i)-\\s*\\[call\\]\\s*') then 'call' when lower(t) = 'this message was deleted' then 'deleted' "
+    + " ".join(f"when regexp_full_match(t, '(?i)<(?:{n}) omitted>') then '{k}'" for k, n in exports.MEDIA)
+    + " when lower(t) = '<album message>' then 'album' when regexp_full_match(t, '(?is)<document omitted>(?:\\s+.*)?') then 'document' "
+    + " ".join(f"when starts_with(t, {_q(n)}) then 'system'" for n in exports.NOTICES)
+    + " else 'text' end as kind, count(*) as messages from x group by 1",
+    "cleaning_report": _M + f" , x as (select {SQL_TOKENS} as t, {sql_normalize('text')} as n from one where text is not null) select count(*) as messages, round(avg(len(t)), 4) as avg_tokens, round(avg(length(n)), 4) as avg_characters, count(*) filter (regexp_matches(n, {_q(_EMOJI)})) as with_emoji, count(*) filter (len(list_filter(t, lambda y: regexp_matches(y, {_q(_LONG)}))) > 0) as with_elongation, count(*) filter (len(list_filter(t, lambda y: regexp_full_match(y, '[A-Z]{{2,}}'))) > 0) as with_caps from x",
     "sender_stats": _M + ", base as (select coalesce(sender, '<UNKNOWN>') as sender, coalesce(lower(message_type), 'text') as t, source_file, is_media, is_system, is_forwarded, length(coalesce(text, '')) as c, " + sql_word_count("text") + f""" as w from one),
         kinds as (select sender, string_agg(t || '=' || n, ',' order by t || '=' || n) as message_types from (select sender, t, count(*) as n from base group by all) group by sender)
         select s.*, message_types from (select sender, {_STATS_COUNTS} from base group by sender) s join kinds using (sender)""",

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatloom.functions import masking
+from chatloom.functions import text as T
+from chatloom.functions.lexicons import DEFAULT
 from chatloom.operators import archive as A
 from chatloom.operators import evaluate as E
 from chatloom.operators import report as R
 from chatloom.operators import style as S
 from chatloom.operators import vectors as V
-from chatloom.plans.archive import _M
-from chatloom.plans.profiles import F0, _features
+from chatloom.plans.archive import _EMOJI, _M, _q, sql_mask
+from chatloom.plans.profiles import F0, _features, _l
 from chatloom.sources.tables import table
 from chatloom.streaming.sessions import session_windows
 
@@ -163,3 +165,35 @@ SQL = {
         s as (select *, sum(n) over (partition by source_file order by timestamp rows unbounded preceding) as i from marked) select source_file, min(timestamp) as session_start, max(timestamp) as session_end, count(*) as message_count from s group by source_file, i""",
 }
 
+_WC = lambda c: f"len(list_filter(regexp_split_to_array({c}, '\\s+'), lambda x: x <> ''))"
+_WS = lambda c: f"regexp_extract_all(lower({c}), {_q(T.WORD)})"
+_ST = lambda c: f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+_EM = lambda c: f"len(regexp_extract_all({c}, {_q(_EMOJI)}))"
+_MARK = lambda c: f"case when {_ST(c)} like '%?' then 'question' when {_ST(c)} like '%!' then 'exclamation' when {_ST(c)} like '%..' then 'ellipsis' when {_ST(c)} like '%.' then 'period' else 'none' end"
+_CASE = lambda c: f"case when regexp_replace({c}, '[^\\p{{L}}]', '', 'g') = '' then 'none' when {c} = lower({c}) then 'lower' when {c} = upper({c}) then 'upper' else 'mixed' end"
+_SIG, _HI, _EN = (_l(x) for x in (DEFAULT.enclitic, DEFAULT.hindi, DEFAULT.english))
+EV = f"""with p as (select distinct pair_id, source_file, conversation_id, target_text, context_text from context_pairs_all),
+ q as (select *, target_text as target, context_text as context from p), cand as (select *, 'retrieved' as strategy, regexp_replace(lower(target_text), '[.!]+$', '') as candidate from q union all select *, 'canned', 'Certainly! How can I help you with that today?' from q
+  union all select *, 'echo', regexp_replace(string_split(coalesce(context_text, ''), chr(10))[-1], '^[^:\\n]{{1,60}}: ', '') from q),
+ x0 as (select *, coalesce(candidate, '') as c, coalesce(target, '') as t from cand),
+ x1 as (select *, {_WS('c')} as wc, {_WS('t')} as wt, {_MARK('c')} as mc, {_MARK('t')} as mt, {_CASE('c')} as kc, {_CASE('t')} as kt, {_WC('c')} as nc, {_WC('t')} as nt, {_EM('c')} as ec, {_EM('t')} as et, regexp_matches(c, {_q(E.ASSISTANT)}) as bot from x0),
+ x2 as (select *, len(list_distinct(list_intersect(wc, wt))) as both_n, len(list_distinct(list_concat(wc, wt))) as either_n, len(list_distinct(list_intersect(wt, {_SIG}))) as sig, len(list_distinct(list_intersect(list_intersect(wc, wt), {_SIG}))) as sig_both from x1),
+ x3 as (select *, case when mc = mt then 1.0 when mt = 'none' and mc = 'period' then 0.0 when mc in ('ellipsis', 'none') and mt in ('ellipsis', 'none') then 0.9 else 0.7 end::double as punctuation,
+  case when kc = kt then 1.0 when kt = 'lower' and kc = 'upper' then 0.2 when kc = 'none' or kt = 'none' then 0.85 else 0.5 end::double as casing, case when greatest(len(wc), len(wt)) = 0 then 1.0 else least(len(wc), len(wt)) / greatest(len(wc), len(wt)) end::double as length,
+  case when either_n = 0 then 1.0 else both_n / either_n end::double as jaccard, case when sig = 0 then 1.0 else sig_both / sig end::double as vocabulary,
+  greatest(1.0, 5.0 - (case when bot then 3.0 else 0 end + case when kc <> kt then 1.0 else 0 end))::double as tone, greatest(1.0, 5.0 - (case when nc > 2 * nt + 3 then 2.0 else 0 end + case when nc > 4 * nt + 6 then 2.0 else 0 end + case when nc * 3 < nt then 1.0 else 0 end))::double as brevity,
+  greatest(1.0, 5.0 - (case when mc <> mt then 1.0 else 0 end + case when mc = 'period' and mt = 'none' then 1.0 else 0 end))::double as punctuation_mark, greatest(1.0, 5.0 - case when both_n = 0 then 2.0 else 0 end)::double as wording,
+  greatest(1.0, 5.0 - (case when {_ST('c')} = '' then 4.0 else 0 end + case when ec > et + 1 then 1.0 else 0 end))::double as presence,
+  [y for y in [case when kt = 'lower' and kc in ('mixed', 'upper') then 'casing' end, case when bot then 'assistant_phrase' end, case when ec > 0 and et = 0 then 'emoji' end, case when mc = 'period' and mt = 'none' then 'formal_punctuation' end,
+   case when list_has_any(wt, {_HI}) and not list_has_any(wt, {_EN}) and not list_has_any(wc, {_HI}) and list_has_any(wc, {_EN}) then 'language' end, case when {_ST('c')} <> '' and contains(coalesce(context, ''), {_ST('c')}) then 'repeats_context' end,
+   case when nc > 2 * nt + 5 then 'too_long' end, case when nc * 3 < nt then 'too_short' end] if y is not null] as codes from x2),
+ ev as (select *, jaccard as cosine, round(greatest(0.0, least(1.0, punctuation * 0.15::double + casing * 0.15::double + length * 0.2::double + jaccard * 0.2::double + vocabulary * 0.1::double + jaccard * 0.2::double)), 6) as composite, round((tone + brevity + punctuation_mark + wording + presence) / 5, 4) as judged from x3)""".replace("context_pairs_all", "(select distinct * from context_pairs)")
+_AV = lambda *c: ", ".join(f"round(avg({x}), 4) as {x}" for x in c)
+
+SQL |= {
+    "pair_metrics": EV + f" select strategy, count(*) as pairs, {_AV(*E.METRICS)} from ev group by 1",
+    "judge_scores": EV + f" select strategy, {_AV('tone', 'brevity', 'punctuation_mark', 'wording', 'presence', 'judged')} from ev group by 1",
+    "failure_tags": EV + ", n as (select strategy, count(*) as a from ev group by 1) select strategy, code, count(*) as turns, round(count(*) / any_value(a), 4) as rate from (select strategy, unnest(codes) as code from ev) join n using (strategy) group by 1, 2",
+    "strategy_summary": EV + f" select strategy, count(*) as turns, {_AV('composite', 'judged', 'jaccard', 'length')}, count(*) filter (len(codes) > 0) as failed, count(*) filter (len(codes) = 0) as clean, round(avg((len(codes) > 0)::int), 4) as failure_rate from ev group by 1",
+    "privacy_audit": "with p as (select distinct * from context_pairs), x as (select source_file, coalesce(context_text, '') as a from p where source_file is not null), y as (select source_file, a, " + sql_mask("a") + " as b from x) select source_file, sum(len(regexp_extract_all(a, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')))::bigint as before, sum(len(regexp_extract_all(b, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')))::bigint as after from y group by 1",
+}
