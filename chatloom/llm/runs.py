@@ -33,7 +33,8 @@ def said(text: Column) -> dict[str, Column]:
     bare = F.regexp_replace(low, r"\s+", "")
     return {
         "one": F.regexp_replace(words, r"(\p{L})\1{2,}", "$1"),
-        "two": F.regexp_replace(words, r"(\p{L})\1{2,}", "$1$1"),
+        # kept only where it differs from the first
+        "two": F.when(words.rlike(r"(\p{L})\1{2,}"), F.regexp_replace(words, r"(\p{L})\1{2,}", "$1$1")),
         "signs": F.when(words == "", F.regexp_replace(bare, r"(.)\1+", "$1")),
     }
 
@@ -120,7 +121,7 @@ def collapse_runs(messages: DataFrame, gap_us: int = GAP_US, least: int = 2, buc
     near = (F.col("actor") == F.col("prev.actor")) & (F.col("us") - F.col("prev.us") < gap_us)
     worded = (F.col("one") != "") & (F.col("prev.one") != "")
     signs, psigns = F.col("signs"), F.col("prev.signs")
-    same = (worded & ((F.col("one") == F.col("prev.one")) | (F.col("two") == F.col("prev.two")))) | ((signs != "") & (psigns != "") & (signs.startswith(psigns) | psigns.startswith(signs)))
+    same = (worded & ((F.col("one") == F.col("prev.one")) | (F.coalesce("two", "one") == F.coalesce("prev.two", "prev.one")))) | ((signs != "") & (psigns != "") & (signs.startswith(psigns) | psigns.startswith(signs)))
     same = F.coalesce(same, F.lit(False))
     alike = worded & ~same & (F.levenshtein("one", "prev.one", 5) >= 0)
 
