@@ -64,7 +64,7 @@ def resolved_speaker(spark: SparkSession, d: str) -> DataFrame:
 
 
 def row_issues(spark: SparkSession, d: str) -> DataFrame:
-    return A.row_issues(_messages(spark, d), 60)
+    return A.row_issues(_messages(spark, d))
 
 
 def order_issues(spark: SparkSession, d: str) -> DataFrame:
@@ -323,7 +323,7 @@ SQL = {
     "speaker_ranking": _M + """select sender, count(distinct source_file) as files, count(*) as messages from one where sender is not null and not regexp_matches(lower(sender), 'added|removed|left|changed|created') group by sender""",
     "resolved_speaker": _M + """select sender from (select sender, count(distinct source_file) as files, count(*) as messages from one where sender is not null and not regexp_matches(lower(sender), 'added|removed|left|changed|created') group by sender)
         order by sender = 'You' desc, files desc, messages desc, sender desc limit 1""",
-    "row_issues": _M + ", " + _ISSUES.replace("LARGE", "60") + " select * from issue",
+    "row_issues": _M + ", " + _ISSUES.replace("LARGE", "20000") + " select * from issue",
     "order_issues": _M + ", " + _ISSUES.replace("LARGE", "20000") + " select * from moved",
     "issue_counts": _M + ", " + _ISSUES.replace("LARGE", "20000") + " select issue, count(*) as rows from (select * from issue union all select * from moved) group by issue",
     "validation_status": _M + ", " + _ISSUES.replace("LARGE", "20000") + """ , al as (select * from issue union all select * from moved),

@@ -99,12 +99,13 @@ def diversity_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pair_similarity(spark: SparkSession, d: str) -> DataFrame:
-    """Over a draw of at most 300 vectors, as the operator's feature is a sample."""
-    return V.pair_similarity_stats(_embeddings(spark, d).orderBy(F.md5(F.col("pair_id").cast("string")), "pair_id").limit(300))
+    """Over a draw of at most 1,000 vectors: the operator is defined on a sample."""
+    return V.pair_similarity_stats(_embeddings(spark, d).orderBy(F.md5(F.col("pair_id").cast("string")), "pair_id").limit(1000))
 
 
 def gram_matrix(spark: SparkSession, d: str) -> DataFrame:
-    return V.gram(_embeddings(spark, d).orderBy("pair_id").limit(40))
+    """Similarities between the means of the labels."""
+    return V.gram(V.mean_vector(_embeddings(spark, d), ["label"]).select(F.col("label").alias("pair_id"), F.col("m").alias("v")))
 
 
 def alignment_classes(spark: SparkSession, d: str) -> DataFrame:
@@ -278,8 +279,8 @@ SQL = {
     "cosine_topk_each": f"with {E}, s as (select a.pair_id as query_id, b.pair_id, {_COS.format('a.v', 'b.v')} as s from e a, e b where a.pair_id % 100 = 0 and a.pair_id <> b.pair_id) select query_id, pair_id, round(s, 6) as similarity, row_number() over (partition by query_id order by round(s, 9) desc, pair_id) as rank from s qualify rank <= 5",
     "vector_norms": f"with {U} select pair_id, round(sqrt(list_dot_product(v, v)), 6) as norm, 1.0::double as unit_norm from u",
     "diversity_index": f"with {U}, s as (select i, sum(x / n) as x from (select unnest(v) as x, generate_subscripts(v, 1) as i, sqrt(list_dot_product(v, v)) as n from u) group by i), t as (select sum(x * x) as q, (select count(*) from u) as n from s) select n, round((q - n) / (n * (n - 1)), 6) as mean_similarity, round(1 - (q - n) / (n * (n - 1)), 6) as diversity from t",
-    "pair_similarity": f"with {E}, x as (select * from e order by md5(pair_id::varchar), pair_id limit 300), s as (select {_COS.format('a.v', 'b.v')} as s from x a join x b on a.pair_id < b.pair_id) select count(*) as pairs, round(avg(s), 6) as mean, round(median(s), 6) as median, round(stddev_pop(s), 6) as std, round(min(s), 6) as min, round(max(s), 6) as max from s",
-    "gram_matrix": f"with {E}, x as (select * from e order by pair_id limit 40) select a.pair_id as a, b.pair_id as b, round({_COS.format('a.v', 'b.v')}, 6) as similarity from x a, x b",
+    "pair_similarity": f"with {E}, x as (select * from e order by md5(pair_id::varchar), pair_id limit 1000), s as (select {_COS.format('a.v', 'b.v')} as s from x a join x b on a.pair_id < b.pair_id) select count(*) as pairs, round(avg(s), 6) as mean, round(median(s), 6) as median, round(stddev_pop(s), 6) as std, round(min(s), 6) as min, round(max(s), 6) as max from s",
+    "gram_matrix": f"with {EM} select a.label as a, b.label as b, round({_COS.format('a.m', 'b.m')}, 6) as similarity from em a, em b",
     "alignment_classes": f"with {EM}, s as (select {_COS.format('v', 'm')} as s from e join em using (label)) select count(*) as n, round(avg(s), 6) as mean, round(stddev_pop(s), 6) as std, round(quantile_cont(s, 0.1), 6) as p10, round(quantile_cont(s, 0.25), 6) as p25, round(quantile_cont(s, 0.5), 6) as median, round(quantile_cont(s, 0.75), 6) as p75, round(quantile_cont(s, 0.9), 6) as p90, count(*) filter (s >= 0.5) as mirroring, count(*) filter (s >= 0.2 and s < 0.5) as balanced, count(*) filter (s < 0.2) as reactive from s",
     "hybrid_vectors": f"with {EM}, h as (select pair_id, v, list_transform(list_zip(v, m), lambda x: 0.3 * x[1] + 0.7 * x[2]) as h from e join em using (label)) select pair_id, round(list_dot_product(h, v) / sqrt(list_dot_product(h, h)), 6) as similarity from h",
     "model_gap": f"with {EM}, s as (select {_COS.format('v', 'a.m')} - {_COS.format('v', 'b.m')} as g from e join em a using (label) join em b on b.label = (e.label + 1) % 10) select count(*) as triplets, round(avg(g), 6) as gap, count(*) filter (g > 0) as won from s",

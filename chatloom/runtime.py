@@ -44,8 +44,13 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path for one table in the shared folder."""
-    return f"{shared_dir(spark)}/chatloom/{name}-{uuid.uuid4().hex}"
+    """A fresh path for one table in the application's part of the shared folder."""
+    return f"{shared_dir(spark)}/chatloom/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has written there; results that read from it must be used up or saved before."""
+    drop_path(spark, f"{shared_dir(spark)}/chatloom/{spark.sparkContext.applicationId}")
 
 
 def persisted(df: DataFrame, name: str) -> DataFrame:
