@@ -43,9 +43,8 @@ def type_classifier(spark: SparkSession, d: str) -> DataFrame:
 
 
 def canonical_ids(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "parsed_messages").dropDuplicates(["message_uid"]).withColumn("text", F.coalesce("text", F.lit("")))
-    c = exports.canonical(p.drop("message_uid").withColumn("raw_line_start", F.col("raw_line_start")))
-    return c.select("message_id", "source_file", "message_type", F.length("text").alias("characters"))
+    p = table(spark, d, "parsed_messages").distinct().withColumn("source_line", F.col("raw_line_start"))
+    return exports.canonical(p).select("message_uid", "message_id", "source_file", "message_type", F.md5("text").alias("digest"))
 
 
 # ---- statistics and checks ---------------------------------------------------------------------------------------
@@ -317,6 +316,7 @@ SQL = {
     + " ".join(f"when starts_with(t, {_q(n)}) then 'system'" for n in exports.NOTICES)
     + " else 'text' end as kind, count(*) as messages from x group by 1",
     "cleaning_report": _M + f" , x as (select {SQL_TOKENS} as t, {sql_normalize('text')} as n from one where text is not null) select count(*) as messages, round(avg(len(t)), 4) as avg_tokens, round(avg(length(n)), 4) as avg_characters, count(*) filter (regexp_matches(n, {_q(_EMOJI)})) as with_emoji, count(*) filter (len(list_filter(t, lambda y: regexp_matches(y, {_q(_LONG)}))) > 0) as with_elongation, count(*) filter (len(list_filter(t, lambda y: regexp_full_match(y, '[A-Z]{{2,}}'))) > 0) as with_caps from x",
+    "canonical_ids": "with p as (select distinct * from parsed_messages) select message_uid, printf('%s:%08d', source_file, row_number() over (partition by source_file order by raw_line_start, message_id)) as message_id, source_file, coalesce(lower(message_type), 'text') as message_type, md5(nfc_normalize(coalesce(text, ''))) as digest from p",
     "sender_stats": _M + ", base as (select coalesce(sender, '<UNKNOWN>') as sender, coalesce(lower(message_type), 'text') as t, source_file, is_media, is_system, is_forwarded, length(coalesce(text, '')) as c, " + sql_word_count("text") + f""" as w from one),
         kinds as (select sender, string_agg(t || '=' || n, ',' order by t || '=' || n) as message_types from (select sender, t, count(*) as n from base group by all) group by sender)
         select s.*, message_types from (select sender, {_STATS_COUNTS} from base group by sender) s join kinds using (sender)""",

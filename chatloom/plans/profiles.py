@@ -88,8 +88,14 @@ def act_transitions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def act_markers(spark: SparkSession, d: str) -> DataFrame:
-    """The ten commonest markers of advice."""
-    return P.ranked_words(_features(spark, d), DEFAULT.discourse["advice"], 10)
+    """The ten commonest markers of each act."""
+    return P.ranked_markers(_features(spark, d), DEFAULT.discourse)
+
+
+def situation_cues(spark: SparkSession, d: str) -> DataFrame:
+    """The ten commonest cues of each situation that has any, in contexts and responses together."""
+    f = _features(spark, d).withColumn("both", T.words(F.concat_ws(" ", "context_text", "target_text")))
+    return P.ranked_markers(f, {"technical_collab": DEFAULT.technical, "career_academic": DEFAULT.career, "advice_probing": DEFAULT.probing}, "both")
 
 
 def situations(spark: SparkSession, d: str) -> DataFrame:
@@ -108,7 +114,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         turn_features, surface_profile, syntax_profile, word_distribution, burst_distribution, burst_ratios, lexical_diversity, clause_types, language_shares, switch_points, borrowed_words, enclitic_topk,
-        abbreviation_topk, discourse_acts, act_cooccurrence, act_transitions, act_markers, situations, behavior_dimensions, behavior_exemplars,
+        abbreviation_topk, discourse_acts, act_cooccurrence, act_transitions, act_markers, situation_cues, situations, behavior_dimensions, behavior_exemplars,
     )
 }
 
@@ -184,6 +190,13 @@ _STACK = "s as (" + " union all ".join(f"select pair_id, target_text, '{x}' as d
 _DIST = "select label, count({0}) as n, round(avg({0}), 2) as mean, round(stddev_pop({0}), 2) as std, min({0}) as min, max({0}) as max, round(quantile_cont({0}, 0.25), 2) as p25, round(quantile_cont({0}, 0.5), 2) as median, round(quantile_cont({0}, 0.75), 2) as p75, round(quantile_cont({0}, 0.9), 2) as p90 from f group by rollup (label)"
 _TOP = " select term, count(*) as uses from (select unnest(words) as term from f) where list_contains({0}, term) group by 1 order by uses desc, term limit {1}"
 
+
+
+def _families(column: str, families: dict) -> str:
+    parts = " union all ".join(f"select '{k}' as family, unnest(list_filter({column}, lambda x: list_contains({_l(v)}, x))) as term from f " for k, v in families.items())
+    return f", mk as ({parts}) select family, term, count(*) as uses, row_number() over (partition by family order by count(*) desc, term) as rank from mk group by 1, 2 qualify rank <= 10"
+
+
 SQL = {
     "turn_features": F0 + f""" select pair_id, source_file, conversation_id, characters, word_count, {', '.join(P.SURFACE)}, emoji_count, {', '.join(P.SYNTAX)}, negations, enclitics, clause, eng_words, hin_words, eng_ratio, switches, language,
         array_to_string(acts, ',') as acts, primary_act, context_act, situation, {', '.join(f'round({x}, 6) as {x}' for x in P.DIMENSIONS)} from f""",
@@ -202,7 +215,8 @@ SQL = {
     "discourse_acts": F0 + f", d as (select unnest([{', '.join(_q(a) for a in ACTS)}]) as act), a as (select unnest(acts) as act, primary_act from f) select act, count(a.primary_act) as turns, count(*) filter (act = a.primary_act) as primary_turns from d left join a using (act) group by act",
     "act_cooccurrence": F0 + ", x as (select unnest(acts) as a, acts from f), y as (select a, unnest(acts) as b from x) select a, b, count(*) as turns from y group by 1, 2",
     "act_transitions": F0 + f", d as (select unnest([{', '.join(_q(a) for a in ACTS)}]) as act), g as (select a.act as context_act, b.act as primary_act from d a, d b), n as (select context_act, primary_act, count(*) as n from f where context_act is not null group by 1, 2), j as (select context_act, primary_act, coalesce(n, 0) as turns from g left join n using (context_act, primary_act)) select *, case when sum(turns) over (partition by context_act) > 0 then round(turns / sum(turns) over (partition by context_act), 4) else 0.0 end as probability from j",
-    "act_markers": F0 + _TOP.format(_l(L.discourse["advice"]), 10),
+    "act_markers": F0 + _families("words", L.discourse),
+    "situation_cues": F0 + _families("b", {"technical_collab": L.technical, "career_academic": L.career, "advice_probing": L.probing}).replace(" from f ", " from f1 "),
     "situations": F0 + f", d as (select unnest([{', '.join(_q(a) for a in SITUATIONS)}]) as situation) select situation, count(f.pair_id) as turns from d left join f using (situation) group by 1",
     "behavior_dimensions": F0 + ", " + _STACK + " select dimension, round(avg(score), 4) as score, count(*) as turns, round(least(1.0, count(*) / 500.0), 4)::double as confidence from s group by 1",
     "behavior_exemplars": F0 + ", " + _STACK + ", o as (select dimension, target_text, max(score) as score, min(pair_id) as pair_id from s where score > 0 group by 1, 2) select dimension, pair_id, target_text, round(score, 2) as score, row_number() over (partition by dimension order by score desc, pair_id, target_text) as rank from o qualify rank <= 5",

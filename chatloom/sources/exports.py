@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chatloom.functions.text import strip
+from chatloom.functions.text import nfc, strip
 
 # The header of a message, media marks, notices, formats of dates and times in the order they are tried.
 HEADER = r"^\[(\d{1,4}[/-]\d{1,2}[/-]\d{1,4}),\s+(\d{1,2}:\d{2}(?::\d{2})?(?:\s*[APap][Mm])?)\]\s*(.*)$"
@@ -88,14 +88,19 @@ def issues(numbered: DataFrame) -> DataFrame:
     return numbered.join(first, "source_file", "left").where(orphan).select("source_file", "line_no", "line", F.lit("text before the first message").alias("reason"))
 
 
-def canonical(parsed: DataFrame) -> DataFrame:
-    """Parsed messages with a stable id `file:number`, a known type and text in composed form."""
-    from chatloom.functions.text import nfc
+def canonical(parsed: DataFrame, block: int = 100_000) -> DataFrame:
+    """Parsed messages with a stable id `file:number`, a known type and text in composed form.
 
+    Messages are numbered within blocks of lines, and one row per block carries the number on.
+    """
     types = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
     k = F.lower(F.coalesce("message_type", F.lit("text")))
-    w = Window.partitionBy("source_file").orderBy("raw_line_start", "message_id")
-    d = parsed.withColumn("__n", F.row_number().over(w)).withColumn("message_id", F.format_string("%s:%08d", "source_file", "__n")).drop("__n")
+    b = parsed.withColumn("__b", F.floor(F.coalesce("raw_line_start", F.lit(0)) / F.lit(block)))
+    bw = Window.partitionBy("source_file").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = b.groupBy("source_file", "__b").agg(F.count(F.lit(1)).alias("n")).select(F.col("source_file").alias("__f"), F.col("__b").alias("__fb"), F.coalesce(F.sum("n").over(bw), F.lit(0)).alias("__before"))
+    w = Window.partitionBy("source_file", "__b").orderBy("raw_line_start", "message_id")
+    d = b.join(before, F.col("source_file").eqNullSafe(F.col("__f")) & (F.col("__b") == F.col("__fb"))).withColumn("__n", F.row_number().over(w) + F.col("__before"))
+    d = d.withColumn("message_id", F.format_string("%s:%08d", "source_file", "__n")).drop("__n", "__b", "__f", "__fb", "__before")
     return d.withColumn("message_type", F.coalesce(F.try_element_at(types, k), k)).withColumn("text", nfc(F.coalesce("text", F.lit(""))))
 
 
