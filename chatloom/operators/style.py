@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
 from chatloom.operators import vectors as V
+from chatloom.runtime import persisted
 
 BINS = ("short", "medium", "long")
 
@@ -66,35 +67,71 @@ def mmr(vectors: np.ndarray, relevance: np.ndarray, k: int, lam: float = 0.7, mo
     return chosen
 
 
-def exemplars(rows: DataFrame, per_category: int = 8, least: float = 0.15, pool: int = 400, category: str = "cluster_id", key: str = "pair_id", dim: int = 64) -> DataFrame:
+def greedy_mmr(rows: DataFrame, by: list[str], key: str, relevance: str, lam: float = 0.7, most: float = 0.9) -> list[tuple]:
+    """(by, key, rank, relevance) of the choice mmr() makes in each group over all its rows (by, key, k, relevance, v).
+
+    k is the number to choose, alike in a group; keys do not repeat in a group. Each round is an aggregate: a partition offers its best open and
+    its best other row, so only the chosen vectors, a few for each group, travel.
+    """
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in by) + f", taken int, minus double, `{key}` {kinds[key]}, relevance double, k int, v array<double>"
+    rows = rows.select(*by, key, F.col(relevance).cast("double").alias("relevance"), F.col("k").cast("int").alias("k"), "v")
+    chosen: dict[tuple, tuple[set, list[np.ndarray]]] = {}
+    out: list[tuple] = []
+    more = True
+    while more:
+
+        def run(batches, chosen=chosen):
+            best: dict[tuple, tuple] = {}
+            for pdf in batches:
+                for g, p in pdf.groupby(by, sort=False):
+                    keys, vectors = chosen.get(g, ((), []))
+                    p = p[(p["k"] > len(vectors)) & ~p[key].isin(keys)]
+                    if not len(p):
+                        continue
+                    rel, x = p["relevance"].to_numpy("float64"), np.array(p["v"].tolist(), "float64")
+                    n = np.linalg.norm(x, axis=1, keepdims=True)
+                    x = x / np.where(n > 0, n, 1)
+                    near = np.max([(x * c).sum(1) for c in vectors], axis=0) if vectors else np.zeros(len(x))
+                    score, taken = lam * rel - (1 - lam) * near, (near > most).astype(int)
+                    for t in (0, 1):
+                        at = np.flatnonzero(taken == t)
+                        if len(at):
+                            top = at[score[at] == score[at].max()]
+                            i = min(top, key=lambda j: p[key].iloc[j])
+                            new = (-score[i], p[key].iloc[i], rel[i], p["k"].iloc[i], x[i])
+                            best[g, t] = min(best.get((g, t), new), new, key=lambda r: r[:2])
+            yield pd.DataFrame([(*g, t, *r) for (g, t), r in best.items()], columns=[*by, "taken", "minus", key, "relevance", "k", "v"])
+
+        won = rows.mapInPandas(run, schema).groupBy(*by).agg(F.min(F.struct("taken", "minus", key, "relevance", "k", "v")).alias("w")).collect()
+        more = False
+        for r in won:
+            g, w = tuple(r[c] for c in by), r["w"]
+            keys, vectors = chosen.setdefault(g, (set(), []))
+            keys.add(w[key])
+            vectors.append(np.array(w["v"]))
+            out.append((*g, w[key], len(vectors), w["relevance"]))
+            more |= len(vectors) < w["k"]
+    return out
+
+
+def exemplars(rows: DataFrame, per_category: int = 8, least: float = 0.15, category: str = "cluster_id", key: str = "pair_id", dim: int = 64) -> DataFrame:
     """category, length_bin, key, rank, centroid_similarity of diverse typical examples.
 
-    Each category and length bin offers its `pool` rows nearest to the category's centroid (those of at least `least`
-    similarity, or all where none is), found by SQL; only this bounded pool enters the greedy choice. A quarter of
-    the examples is short, half medium, the rest long.
+    Each category and length bin offers all its rows of at least `least` similarity to the category's centroid, or all
+    where none is. A quarter of the examples is short, half medium, the rest long.
     """
     m = V.mean_vector(rows, [category], dim=dim).select(category, "m")
-    s = rows.join(m, category).withColumn("centroid_similarity", V.cosine(F.col("v"), F.col("m"))).drop("m").withColumn("length_bin", exemplar_bin(F.col("word_count")))
-    w = Window.partitionBy(category, "length_bin")
-    s = s.withColumn("any", F.max((F.col("centroid_similarity") >= least).cast("int")).over(w)).where((F.col("any") == 0) | (F.col("centroid_similarity") >= least))
-    s = s.withColumn("r", F.row_number().over(w.orderBy(F.desc("centroid_similarity"), key))).where(F.col("r") <= pool)
-    quota = {"short": per_category // 4, "medium": per_category // 2}
-    quota["long"] = per_category - quota["short"] - quota["medium"]
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([key]).reset_index(drop=True)
-        x = np.array(pdf["v"].tolist(), "float64")
-        n = np.linalg.norm(x, axis=1, keepdims=True)
-        x = x / np.where(n > 0, n, 1)
-        pick = mmr(x, pdf["centroid_similarity"].to_numpy("float64"), quota[pdf["length_bin"].iloc[0]])
-        out = pdf.iloc[pick][[category, "length_bin", key]].copy()
-        out["rank"] = range(1, len(out) + 1)
-        out["centroid_similarity"] = pdf["centroid_similarity"].iloc[pick].round(6).to_numpy()
-        return out
-
+    s = rows.join(m, category).withColumn("centroid_similarity", V.cosine(F.col("v"), F.col("m"))).withColumn("length_bin", exemplar_bin(F.col("word_count")))
+    s = persisted(s.select(category, "length_bin", key, "v", "centroid_similarity"), "candidates")
+    typical = s.groupBy(category, "length_bin").agg(F.max("centroid_similarity").alias("__most"))  # one row per category and bin
+    s = s.join(F.broadcast(typical), [category, "length_bin"]).where((F.col("__most") < least) | (F.col("centroid_similarity") >= least))
+    short, medium = per_category // 4, per_category // 2
+    s = s.withColumn("k", F.when(F.col("length_bin") == "short", short).when(F.col("length_bin") == "medium", medium).otherwise(per_category - short - medium))
     kind = dict(rows.dtypes)
     schema = f"`{category}` {kind[category]}, length_bin string, `{key}` {kind[key]}, rank int, centroid_similarity double"
-    return s.select(category, "length_bin", key, "v", "centroid_similarity").groupBy(category, "length_bin").applyInPandas(run, schema)
+    found = greedy_mmr(s, [category, "length_bin"], key, "centroid_similarity")
+    return rows.sparkSession.createDataFrame([(*r[:-1], round(r[-1], 6)) for r in found], schema)
 
 
 def style_index(examples: DataFrame, pairs: DataFrame, dim: int = 64) -> DataFrame:
@@ -105,8 +142,8 @@ def style_index(examples: DataFrame, pairs: DataFrame, dim: int = 64) -> DataFra
     return e.withColumn("v", F.coalesce("v", F.array_repeat(F.lit(dim**-0.5), dim)))
 
 
-def search(index: DataFrame, query: list[float], k: int = 5, least: float = 0.2, lam: float = 0.7, pool: int = 200, category: int | None = None, length_bin: str | None = None, key: str = "pair_id") -> DataFrame:
-    """key, similarity, rank: examples near to one query, chosen for nearness and diversity from the `pool` nearest.
+def search(index: DataFrame, query: list[float], k: int = 5, least: float = 0.2, lam: float = 0.7, category: int | None = None, length_bin: str | None = None, key: str = "pair_id") -> DataFrame:
+    """key, similarity, rank: examples near to one query, chosen for nearness and diversity from all that reach the threshold.
 
     A filter that leaves nothing is dropped, and so is the threshold where nothing reaches it.
     """
@@ -116,18 +153,11 @@ def search(index: DataFrame, query: list[float], k: int = 5, least: float = 0.2,
             kept = rows.where(F.col(c) == v)
             rows = kept if kept.limit(1).count() else rows
     q = F.array(*[F.lit(float(x)) for x in query])
-    near = rows.select(key, "v", V.cosine(F.col("v"), q).alias("similarity")).orderBy(F.desc("similarity"), key).limit(pool)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["similarity", key], ascending=[False, True]).reset_index(drop=True)
-        good = pdf[pdf["similarity"] >= least]
-        pdf = good if len(good) else pdf.head(k)
-        x = np.array(pdf["v"].tolist(), "float64")
-        n = np.linalg.norm(x, axis=1, keepdims=True)
-        pick = mmr(x / np.where(n > 0, n, 1), pdf["similarity"].to_numpy("float64"), k, lam)
-        return pd.DataFrame({key: pdf[key].iloc[pick], "similarity": pdf["similarity"].iloc[pick].round(6), "rank": range(1, len(pick) + 1)})
-
-    return near.groupBy(F.lit(0).alias("__all")).applyInPandas(lambda p: run(p), f"`{key}` {dict(index.dtypes)[key]}, similarity double, rank int")
+    near = rows.select(key, "v", V.cosine(F.col("v"), q).alias("similarity"), F.lit(k).alias("k"), F.lit(0).alias("__all"))
+    good = near.where(F.col("similarity") >= least)
+    near = good if good.limit(1).count() else near.orderBy(F.desc("similarity"), key).limit(k)
+    found = greedy_mmr(near, ["__all"], key, "similarity", lam)
+    return index.sparkSession.createDataFrame([(i, round(s, 6), r) for _, i, r, s in found], f"`{key}` {dict(index.dtypes)[key]}, similarity double, rank int")
 
 
 def retrieval_gate(message: Column, trivial: tuple[str, ...] = ("hi", "hello", "hey", "ok", "okk", "hmm", "haha", "lol", "gm", "gn")) -> Column:

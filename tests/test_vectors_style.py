@@ -106,3 +106,18 @@ def test_evaluation(spark):
     assert s["b"]["failed"] == 1 and s["b"]["clean"] == 1 and s["a"]["failure_rate"] == 0.0
     j = spark.createDataFrame([('text {"score": 9} more',), ("nothing",)], "r string").select(E.parse_judgement(F.col("r"), F.lit(2.0)).alias("s"))
     assert [x["s"] for x in j.collect()] == [5.0, 2.0]
+
+
+def test_examples_are_chosen_from_all_candidates(spark):
+    # 500 near copies of the typical row crowd out the four others wherever only the nearest are looked at
+    d = 16
+    v = [("p%03d" % k, (np.eye(d)[0] + 0.001 * np.eye(d)[1 + k % 8]).tolist()) for k in range(500)]
+    v += [("q%d" % k, (0.6 * np.eye(d)[0] + 0.8 * np.eye(d)[9 + k]).tolist()) for k in range(4)]
+    t = spark.createDataFrame([(i, x, 7, 10) for i, x in v], "pair_id string, v array<double>, cluster_id int, word_count int")
+    got = [r["pair_id"] for r in S.exemplars(t, 8, dim=d).orderBy("rank").collect()]
+    x = np.array([y for _, y in v])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    m = np.mean([y for _, y in v], axis=0)
+    assert got == [v[k][0] for k in S.mmr(x, x @ (m / np.linalg.norm(m)), 4)] and sum(i[0] == "q" for i in got) == 3
+    found = [r["pair_id"] for r in S.search(t, np.eye(d)[0].tolist(), 4).orderBy("rank").collect()]
+    assert sum(i[0] == "q" for i in found) == 3
