@@ -10,17 +10,16 @@ from __future__ import annotations
 import functools
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.textform import with_offsets
 
 TYPES = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")
-#: A speaker counts for the name list if at least one row in so many is theirs, which bounds the list.
-SPEAKER_SHARE = 200_000
 
 # Spelled digits, in English and Hindi.
 DIGIT_WORDS = {
@@ -79,8 +78,7 @@ class Names:
 
     def __init__(self, given: set[str], family: set[str], speakers: set[str]):
         self.given, self.family, self.speakers = given, family, speakers
-        alt = lambda words: "|".join(sorted(map(re.escape, words), key=len, reverse=True)) or "(?!)"
-        g, f = alt(given), alt(family)
+        g, f = _any_of(given), _any_of(family)
         self.pattern = re.compile(rf"(?<![\w@.+-])(?:(?:{'|'.join(TITLES)})\.?\s+(?:(?:{g})\s+)?(?:{f})|[a-z]\.\s?(?:{f})|(?:{g})(?:\s+(?:{f}))?)(?![\w@]|[+-]\w)", re.I)
         self.titled = re.compile(rf"(?<![\w@.+-])(?i:{'|'.join(TITLES)})\.?\s+[A-Z][a-z]+(?:-[A-Z][a-z]+)?(?![\w@-])")
         # one automaton tells whether a text is worth a closer look, and for what
@@ -103,28 +101,64 @@ class Names:
         return out
 
 
+def _name_words(s: str, owner: str) -> tuple[str, list[str]]:
+    """(given name or nothing, family names) of a speaker: the first word, and capitalised ones after it."""
+    w = s.split()
+    if not w or s == owner or not w[0].replace("-", "").isalpha() or not w[0][0].isupper():
+        return "", []
+    return w[0].lower(), [x.lower() for x in w[1:] if x.replace("-", "").isalpha() and x[0].isupper() and not x.isupper()]
+
+
 def learn_names(speakers: list[str], owner: str = "You") -> Names:
     """Names from speaker columns: the first word of a speaker, and a capitalised second one as family name."""
     given, family = set(), set()
     for s in speakers:
-        w = s.split()
-        if not w or s == owner or not w[0].replace("-", "").isalpha() or not w[0][0].isupper():
-            continue
-        given.add(w[0].lower())
-        for x in w[1:]:
-            if x.replace("-", "").isalpha() and x[0].isupper() and not x.isupper():
-                family.add(x.lower())
+        g, f = _name_words(s, owner)
+        given |= {g} - {""}
+        family.update(f)
     return Names(given, family - given, set(speakers) | {owner})
 
 
-def speakers_of(columns: list[Column | tuple[DataFrame, str]], share: int = SPEAKER_SHARE) -> list[str]:
-    """Distinct speakers of (table, column) pairs that write at least one row in share."""
-    found: set[str] = set()
-    for df, c in columns:
-        counted = df.groupBy(F.col(c).alias("s")).count().where(F.col("s").isNotNull())
-        total = counted.agg(F.sum("count")).first()[0] or 0
-        found |= {r[0] for r in counted.where(F.col("count") >= max(1, total // share)).collect()}
-    return sorted(found)
+def names_of(columns: list[tuple[DataFrame, str]], owner: str = "You") -> Names:
+    """Names from all speakers of (table, column) pairs, however few their rows.
+
+    Speakers are reduced to distinct name words before they travel; whole ones only where no given name stands at
+    their start, since a speaker label is known by its given name otherwise.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = set()
+            for s in pdf["s"]:
+                g, f = _name_words(s, owner)
+                out |= {("given", g)} if g else set()
+                out |= {("family", x) for x in f}
+                if not g or s.split(" ")[0].lower() != g:
+                    out.add(("speaker", s))
+            yield pd.DataFrame(sorted(out), columns=["kind", "word"])
+
+    found: dict[str, set[str]] = {"given": set(), "family": set(), "speaker": {owner}}
+    speakers = reduce(DataFrame.unionByName, (df.select(F.col(c).cast("string").alias("s")) for df, c in columns)).where(F.col("s").isNotNull()).distinct()
+    for r in speakers.mapInPandas(run, "kind string, word string").distinct().toLocalIterator():
+        found[r["kind"]].add(r["word"])
+    return Names(found["given"], found["family"] - found["given"], found["speaker"])
+
+
+def _any_of(words: set[str]) -> str:
+    """Pattern of one of the words, the longest first, as a tree of their letters: its time does not grow with their number."""
+    if not words:
+        return "(?!)"
+    heads: dict[str, set[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], set()).add(w[1:])
+    branches = []
+    for c, rest in sorted(heads.items()):
+        head = c
+        while len(rest) == 1 and (only := next(iter(rest))):
+            head, rest = head + only[0], {only[1:]}
+        branches.append(re.escape(head) + (_any_of(rest) if rest != {""} else ""))
+    return "(?:" + "|".join(branches) + ")" + ("?" if "" in words else "")
 
 
 @functools.lru_cache(maxsize=4096)

@@ -102,7 +102,7 @@ def p8_fill(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, d: str) -> pii.Names:
-    return pii.learn_names(pii.speakers_of([(table(spark, d, t), "sender") for t in ("messages", "parsed_messages")]))
+    return pii.names_of([(table(spark, d, t), "sender") for t in ("messages", "parsed_messages")])
 
 
 PII_TEXTS = {

@@ -1,4 +1,4 @@
-from chatloom.llm.pii import detect, learn_names, mask, masked, occurrences
+from chatloom.llm.pii import detect, learn_names, mask, masked, names_of, occurrences
 
 NAMES = learn_names(["You", "Mira Talbot", "Mira", "Jonas hostel", "Anouk Vance-Reed", "+91 60000 13620"])
 
@@ -39,3 +39,19 @@ def test_operator(spark):
     m = {r["id"]: r["text_masked"] for r in masked(d.where("id = 'a'"), {"text": ("t.text", False)}, NAMES).collect()}
     assert m == {"a": "[NAME] and [NAME], [PHONE]"}
     assert occurrences(d.limit(0), "id", {"text": ("t.text", False)}, NAMES).count() == 0
+
+
+def test_quiet_speakers_count(spark):
+    # one row of 450,000 is enough for a name
+    loud = spark.range(450_000).selectExpr("'Mira Talbot' as sender")
+    few = spark.createDataFrame([("Zelda Quimby",), ("ze ta",), ("You",), ("",), (None,)], "sender string")
+    n = names_of([(loud, "sender"), (few, "sender")])
+    assert n.given == {"mira", "zelda"} and n.family == {"talbot", "quimby"} and n.speakers == {"You", "ze ta", ""}
+    assert mask("Zelda Quimby: ask zelda quimby\nze ta: ask Mira", n, True) == "Zelda Quimby: ask [NAME]\nze ta: ask [NAME]"
+
+
+def test_many_names():
+    many = learn_names([f"{a}{b}{c} {a}{c}{b}x" for a in "ABCDEFG" for b in ("a", "an", "ana") for c in ("li", "lis", "l-o")])
+    for w in ("ask Aanalis alisanx", "ask Ganali", "ask Mr Blianax"):
+        assert [k for _, _, k in detect(w, many)] == ["NAME"], w
+    assert detect("ask Aanalisa", many) == []
