@@ -20,8 +20,8 @@ from chatloom.runtime import persisted
 # Remarks that mark a message as sent again, and the mark of a forwarded one.
 AGAIN = r"\s*\((?:again|retry|resending|resend|resent|repost|sent again|bump)\)"
 FORWARDED = r"^\s*\[?forwarded\]?:?\s+"
-#: A word counts as known if at least one message in so many has it: at most so many times the mean length are known.
-KNOWN_SHARE = 20_000
+#: A word counts as known if so many messages have it, whatever the size of the table.
+KNOWN_LEAST = 3
 #: A known word may be a slip for another only if that one is so many times as frequent.
 SLIP_RATIO = 20
 
@@ -59,12 +59,11 @@ def slip(a: str, b: str, known: dict[str, int]) -> bool:
     """Whether one of two different words is the other one mistyped. Words with digits never are."""
     if re.search(r"\d", a + b) or min(len(a), len(b)) < 1:
         return False
-    x, y = known.get(a, 0), known.get(b, 0)
-    if x and y:
-        return max(x, y) >= SLIP_RATIO * min(x, y) and max(len(a), len(b)) >= 2 and osa(a, b, 1) == 1
-    if x or y:
-        return max(len(a), len(b)) >= 2 and osa(a, b, 1) == 1
-    return min(len(a), len(b)) >= 4 and osa(a, b, 2) <= 2 and any(osa(a, w, 1) <= 1 and osa(b, w, 1) <= 1 for w in _near(a, known))
+    low, high = sorted((known.get(a, 0), known.get(b, 0)))
+    if high and high >= SLIP_RATIO * low and max(len(a), len(b)) >= 2 and osa(a, b, 1) == 1:
+        return True
+    # both mistyped for a third word; in a large table slips themselves reach the least number
+    return min(len(a), len(b)) >= 4 and osa(a, b, 2) <= 2 and any(known[w] >= SLIP_RATIO * high and osa(a, w, 1) <= 1 and osa(b, w, 1) <= 1 for w in _near(a, known))
 
 
 def _near(a: str, known: dict[str, int]) -> Iterator[str]:
@@ -89,11 +88,25 @@ def same_words(a: str, b: str, known: dict[str, int]) -> bool:
     return len(diff) <= max(1, len(x) // 2) and all(slip(p, q, known) for p, q in diff)
 
 
-def known_words(rows: DataFrame, words: str = "one", share: int = KNOWN_SHARE) -> dict[str, int]:
-    """Messages with each known word; their number is bounded by share times the mean number of words."""
-    n = rows.count()
+def known_words(rows: DataFrame, words: str = "one", least: int = KNOWN_LEAST) -> dict[str, int]:
+    """Messages with each known word; their number is that of the vocabulary, not of the rows."""
     counted = rows.select(F.explode(F.array_distinct(F.split(words, " "))).alias("w")).where("w != ''").groupBy("w").count()
-    return {r[0]: r[1] for r in counted.where(F.col("count") >= max(3, n // share)).collect()}
+    t = counted.where(F.col("count") >= least).toArrow()
+    return dict(zip(t["w"].to_pylist(), t["count"].to_pylist()))
+
+
+def comparable(a: Column, b: Column) -> Column:
+    """Whether same_words() could hold for two texts of words; it leaves nothing out that would.
+
+    Equal but for blanks, one blank and one edit apart, or word by word, at most every other one, within two edits
+    (a swap costs levenshtein two of its own).
+    """
+    x, y = F.split(a, " "), F.split(b, " ")
+    pairs = F.filter(F.arrays_zip(x.alias("x"), y.alias("y")), lambda p: p["x"] != p["y"])
+    near = F.forall(pairs, lambda p: F.levenshtein(p["x"], p["y"], 4) >= 0)
+    by_word = (F.size(x) == F.size(y)) & (F.size(pairs) <= F.greatest(F.lit(1), F.floor(F.size(x) / 2))) & near
+    by_blank = (F.abs(F.size(x) - F.size(y)) == 1) & (F.levenshtein(a, b, 2) >= 0)
+    return (F.replace(a, F.lit(" "), F.lit("")) == F.replace(b, F.lit(" "), F.lit(""))) | by_word | by_blank
 
 
 def collapse_runs(messages: DataFrame, gap_us: int = GAP_US, least: int = 2, bucket_gaps: int = 12, key: str = "source_file", event_id: str = "message_id", ts: str = "timestamp", actor: str = "sender", text: str = "text", arrival: str = "received_at") -> DataFrame:
@@ -123,7 +136,8 @@ def collapse_runs(messages: DataFrame, gap_us: int = GAP_US, least: int = 2, buc
     signs, psigns = F.col("signs"), F.col("prev.signs")
     same = (worded & ((F.col("one") == F.col("prev.one")) | (F.coalesce("two", "one") == F.coalesce("prev.two", "prev.one")))) | ((signs != "") & (psigns != "") & (signs.startswith(psigns) | psigns.startswith(signs)))
     same = F.coalesce(same, F.lit(False))
-    alike = worded & ~same & (F.levenshtein("one", "prev.one", 5) >= 0)
+    # the comparison is worked out for neighbours only
+    alike = F.when(near & worded & ~same, comparable(F.col("one"), F.col("prev.one")))
 
     def compare(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         k = known.value
@@ -131,7 +145,7 @@ def collapse_runs(messages: DataFrame, gap_us: int = GAP_US, least: int = 2, buc
             yield pd.Series([x is not None and y is not None and same_words(x, y, k) for x, y in zip(a, b)], dtype=bool)
 
     slips = F.pandas_udf(compare, "boolean").asNondeterministic()
-    d = d.withColumn("cand", F.coalesce(near & alike, F.lit(False)))
+    d = d.withColumn("cand", F.coalesce(alike, F.lit(False)))
     d = d.withColumn("slip", slips(F.when(F.col("cand"), F.col("one")), F.when(F.col("cand"), F.col("prev.one"))))
     d = d.withColumn("joins", F.coalesce(near & same, F.lit(False)) | F.col("slip"))
     fields = ["key", "b", "id", "us", "actor", "pos", "joins", "last", F.col("prev.us").alias("prev_us"), F.col("prev.id").alias("prev_id"), F.lag("seen", 1, True).over(w).alias("prev_seen"), "seen"]

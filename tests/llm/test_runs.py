@@ -1,6 +1,6 @@
 from datetime import datetime, timedelta
 
-from chatloom.llm.runs import collapse_runs, osa, same_words
+from chatloom.llm.runs import collapse_runs, known_words, osa, same_words
 from tests.conftest import rows
 
 T0 = datetime(2024, 1, 1)
@@ -46,3 +46,19 @@ def test_words():
     assert same_words("we missed the charger again", "we missed thecharger again", known)
     assert not same_words("room 12", "room 13", known)
     assert not same_words("we missed the bus again", "we missed the charger again", known)
+
+
+def test_slips_of_a_long_message(spark):
+    # four words with swapped letters are eight edits of the whole message
+    good, bad = "please bring the charger from the kitchen before dinner tomorrow", "plaese bring the chagrer from the kicthen before dinenr tomorrow"
+    base = [("k", k, str(k % 7), good) for k in range(5)]
+    items = [("a", 0, "x", good), ("a", 1, "x", bad), ("a", 9, "y", good), ("a", 10, "y", "please bring the chargerfrom thekitchen before dinner to morrow")]
+    assert [r[:3] for r in found(table(spark, base + items)) if r[0].startswith("a")] == [("a:0005", "a:0006", 2), ("a:0007", "a:0008", 2)]
+
+
+def test_known_words_do_not_depend_on_size(spark):
+    words = spark.range(100_000).selectExpr("'the bus' as one").unionByName(spark.createDataFrame([("charger",)] * 3 + [("twice",)] * 2, "one string"))
+    assert known_words(words) == {"the": 100_000, "bus": 100_000, "charger": 3}
+    # slips seen often enough to be known are still slips of the frequent word
+    known = {"charger": 1000, "chagrer": 4, "chargr": 5, "lamp": 1000, "lamb": 900}
+    assert same_words("bring the chagrer", "bring the chargr", known) and not same_words("bring the lamp", "bring the lamb", known)
