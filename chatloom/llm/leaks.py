@@ -7,8 +7,10 @@ over altered, lost, doubled and added words. Positions are mapped back to the or
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -21,7 +23,6 @@ from chatloom.llm.runs import osa
 from chatloom.llm.textform import one_form, with_offsets
 
 GRAM = 4  # words in a pattern
-COMMON = 4  # a pattern in more items than this is stock phrasing and no evidence
 REACH = 30  # words between two hits of a chain
 DRIFT = 6  # words by which the diagonal may move between two hits
 LEAST = 36  # successive words of an item that make a leak
@@ -73,13 +74,13 @@ class Items:
                 where[" " + " ".join(w[p : p + n]) + " "].append((i, p))
         a = ahocorasick.Automaton()
         for g, at in where.items():
-            if len({i for i, _ in at}) <= COMMON:
-                a.add_word(g, (len(g), at))
+            a.add_word(g, (len(g), at))
         if len(a):
             a.make_automaton()
         return a
 
 
+@functools.lru_cache(maxsize=1 << 16)
 def alike(a: str, b: str) -> bool:
     return a == b or (min(len(a), len(b)) >= 2 and max(len(a), len(b)) >= 3 and not (a.isdigit() and b.isdigit()) and osa(a, b, 1) <= 1)
 
@@ -98,6 +99,9 @@ def grow(doc: list[str], item: list[str], d: int, q: int, step: int) -> tuple[in
             miss = max(0, miss - 1) if doc[x] == item[y] else miss
             best = (a, b, found)
             continue
+        near = (doc[x : x + 6], item[y : y + 6]) if step > 0 else (doc[max(0, x - 5) : x + 1], item[max(0, y - 5) : y + 1])
+        if set(near[0]).isdisjoint(near[1]):
+            return best  # no shift can make two words agree
         # resume at the nearest pair of shifts after which two words (or the last one) agree
         for s, t in _SHIFTS:
             u, v = x + step * s, y + step * t
@@ -117,6 +121,17 @@ def grow(doc: list[str], item: list[str], d: int, q: int, step: int) -> tuple[in
 _SHIFTS = sorted(((s, t) for s in range(6) for t in range(6) if s or t), key=lambda x: (max(x), x[0] + x[1]))
 
 
+def _goes_on(at_word: dict[int, list[int]], d: int, q: int) -> bool:
+    """Whether another hit lies within reach after this one, near its diagonal; at_word has item positions, in order, by document word."""
+    for n in range(1, REACH + 1):
+        qs = at_word.get(d + n)
+        if qs:
+            k = bisect_left(qs, q + n - DRIFT)
+            if k < len(qs) and qs[k] <= q + n + DRIFT:
+                return True
+    return False
+
+
 def leaks_in(doc: list[str], items: Items, machine: ahocorasick.Automaton) -> list[tuple[int, int, int, int]]:
     """(item, printed item words covered, first and last document word) of each leak, the longest per item."""
     text, starts, n = " " + " ".join(doc) + " ", {}, 1
@@ -136,12 +151,14 @@ def leaks_in(doc: list[str], items: Items, machine: ahocorasick.Automaton) -> li
         if len(h) < 2:
             continue
         h.sort()
+        at_word: dict[int, list[int]] = defaultdict(list)
+        for d, q in h:
+            at_word[d].append(q)
         best, done = (0, 0, 0), []
-        for k in range(len(h) - 1):
-            d, q = h[k]
+        for d, q in h:
             if any(d0 <= d <= d1 and q0 <= q <= q1 for d0, d1, q0, q1 in done):
                 continue
-            if not any(0 < d2 - d <= REACH and abs((d2 - q2) - (d - q)) <= DRIFT for d2, q2 in h[k + 1 : k + 12]):
+            if not _goes_on(at_word, d, q):
                 continue
             w, place = items.words[i], items.place[i]
             rd, rq, rf = grow(doc, w, d, q, 1)

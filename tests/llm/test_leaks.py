@@ -27,3 +27,11 @@ def test_leaks(spark):
     r = find_leaks(d.where("doc_id = 1"), i).first()
     assert docs[0][1][r["start"] : r["end"]] == " ".join(w[0]) and r["words"] == 60
     assert find_leaks(d, i.limit(0)).count() == 0 and find_leaks(d.limit(0), i).count() == 0
+
+
+def test_shared_and_repeating_passages(spark):
+    shared, verse = other(40), "ab cd ef gh " * 15
+    items = [(k, f"{shared}. {other(8)}?") for k in range(6)] + [(6, verse)]
+    docs = [(1, f"{other(9)} {shared} {other(9)}"), (2, f"{other(9)} {verse} {other(9)}"), (3, f"{other(9)} {' '.join(shared.split()[:20])} {other(30)}")]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert rows(find_leaks(d, i), "doc_id", "item_id") == [(1, k) for k in range(6)] + [(2, 6)]
