@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,11 +95,19 @@ def act_markers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def situation_cues(spark: SparkSession, d: str) -> DataFrame:
-    """The ten commonest cues of each situation that has any, in contexts and responses together."""
+    """The ten commonest cues of the three situations read from contexts and responses together; situation_cues_all has all six."""
     f = _features(spark, d).withColumn("both", T.words(F.concat_ws(" ", "context_text", "target_text")))
     return P.ranked_markers(f, {"technical_collab": DEFAULT.technical, "career_academic": DEFAULT.career, "advice_probing": DEFAULT.probing}, "both")
 
 
+def situation_cues_all(spark: SparkSession, d: str) -> DataFrame:
+    """The ten commonest cues of all six situations, from the texts that weigh for each in situation_weights()."""
+    text = T.strip(F.coalesce("target_text", F.lit("")))
+    f = _features(spark, d).withColumn("alone", F.when((F.size("words") == 1) & (F.col("word_count") <= 3), F.col("words"))).withColumn("emoji", F.regexp_extract_all(text, F.lit(f"[{DEFAULT.humor_emoji}]"), F.lit(0)))
+    own = (("alone", "acknowledgement", DEFAULT.acknowledgement), ("words", "conflict_friction", DEFAULT.conflict), ("emoji", "casual_banter", tuple(DEFAULT.humor_emoji)))
+    return reduce(DataFrame.unionByName, (P.ranked_markers(f, {name: terms}, c) for c, name, terms in own), situation_cues(spark, d))
+
+
 def situations(spark: SparkSession, d: str) -> DataFrame:
     return P.filled(_features(spark, d).groupBy("situation").agg(F.count(F.lit(1)).alias("turns")), "situation", SITUATIONS)
 
@@ -114,7 +124,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         turn_features, surface_profile, syntax_profile, word_distribution, burst_distribution, burst_ratios, lexical_diversity, clause_types, language_shares, switch_points, borrowed_words, enclitic_topk,
-        abbreviation_topk, discourse_acts, act_cooccurrence, act_transitions, act_markers, situation_cues, situations, behavior_dimensions, behavior_exemplars,
+        abbreviation_topk, discourse_acts, act_cooccurrence, act_transitions, act_markers, situation_cues, situation_cues_all, situations, behavior_dimensions, behavior_exemplars,
     )
 }
 

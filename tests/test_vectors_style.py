@@ -7,6 +7,7 @@ from chatloom.operators import profiles as P
 from chatloom.operators import style as S
 from chatloom.operators import topics as K
 from chatloom.operators import vectors as V
+from chatloom.plans import profiles as plans
 from pyspark.sql import functions as F
 from tests.conftest import rows
 
@@ -121,3 +122,10 @@ def test_examples_are_chosen_from_all_candidates(spark):
     assert got == [v[k][0] for k in S.mmr(x, x @ (m / np.linalg.norm(m)), 4)] and sum(i[0] == "q" for i in got) == 3
     found = [r["pair_id"] for r in S.search(t, np.eye(d)[0].tolist(), 4).orderBy("rank").collect()]
     assert sum(i[0] == "q" for i in found) == 3
+
+
+def test_cues_of_all_situations(spark, monkeypatch):
+    d = spark.createDataFrame([("p0", "Ok", None, 1), ("p1", "nobody said ok \U0001f602\U0001f602", None, 1), ("p2", None, None, 1)], "pair_id string, target_text string, context_text string, message_count int")
+    monkeypatch.setattr(plans, "_features", lambda spark, d_: P.turn_features(d))
+    got = rows(plans.situation_cues_all(spark, ""), "family", "term", "uses")
+    assert [g for g in got if g[0] in ("acknowledgement", "conflict_friction", "casual_banter")] == [("acknowledgement", "ok", 1), ("casual_banter", "\U0001f602", 2), ("conflict_friction", "nobody", 1)]
