@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
 from chatloom.functions.lexicons import DEFAULT
 from chatloom.operators import vectors as V
+from chatloom.runtime import persisted
+
+
+SEEDS = tuple(range(42, 52))
+ITERATIONS = 300
 
 
-def kmeans(rows: DataFrame, k: int, seeds: tuple[int, ...] = (42,), iterations: int = 50, key: str = "pair_id") -> tuple[DataFrame, list[list[float]], float]:
+def kmeans(rows: DataFrame, k: int, seeds: tuple[int, ...] = SEEDS, iterations: int = ITERATIONS, key: str = "pair_id") -> tuple[DataFrame, list[list[float]], float]:
     """(key, cluster_id), unit centres and cost of the cheapest of several runs."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
@@ -30,13 +37,14 @@ def kmeans(rows: DataFrame, k: int, seeds: tuple[int, ...] = (42,), iterations:
     return m.transform(f).select(key, F.col("prediction").alias("cluster_id")), centres, cost
 
 
-def sweep(rows: DataFrame, ks: tuple[int, ...], seeds: tuple[int, ...] = (42,), key: str = "pair_id") -> DataFrame:
-    """k, inertia, silhouette, calinski_harabasz for each k."""
+def sweep(rows: DataFrame, ks: Iterable[int], seeds: tuple[int, ...] = SEEDS, key: str = "pair_id") -> DataFrame:
+    """k, inertia, silhouette, calinski_harabasz for each k from 2 up to less than the number of rows."""
     from pyspark.ml.evaluation import ClusteringEvaluator
     from pyspark.ml.functions import array_to_vector
 
-    out = []
-    for k in ks:
+    rows = persisted(rows, "swept")
+    n, out = rows.count(), []
+    for k in (k for k in ks if 2 <= k < n):
         labels, _, cost = kmeans(rows, k, seeds, key=key)
         d = rows.join(labels, key).withColumn("features", array_to_vector("v"))
         s = ClusteringEvaluator(predictionCol="cluster_id", distanceMeasure="cosine").evaluate(d)

@@ -201,7 +201,20 @@ def sender_stopwords(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kmeans_sweep(spark: SparkSession, d: str) -> DataFrame:
-    return K.sweep(_vectors(spark, d), (6, 8))
+    return K.sweep(_vectors(spark, d), range(6, 19))
+
+
+def topic_sweep(spark: SparkSession, d: str) -> DataFrame:
+    """The sweep of the numbers of topics, over the only vectors given, those of the responses."""
+    return K.sweep(_vectors(spark, d), range(5, 13))
+
+
+def best_cluster_k(spark: SparkSession, d: str) -> DataFrame:
+    return K.best_k(kmeans_sweep(spark, d))
+
+
+def best_topic_k(spark: SparkSession, d: str) -> DataFrame:
+    return K.best_k(topic_sweep(spark, d))
 
 
 def kmeans_clusters(spark: SparkSession, d: str) -> DataFrame:
@@ -260,7 +273,7 @@ QUERIES = {
     for f in (
         drop_reasons, quality_filter, length_bins, stratified_sample, sample_report, conversation_split, split_crosstab, split_leakage, holdout, holdout_bins,
         cosine_topk, cosine_topk_each, vector_norms, diversity_index, pair_similarity, gram_matrix, alignment_classes, hybrid_vectors, model_gap, embedding_offline,
-        centroids, medoids, calinski_harabasz, cluster_profile, cluster_sources, cluster_emoji, ctfidf_terms, topic_terms, topic_labels, style_topic_matrix, sender_stopwords, kmeans_sweep, kmeans_clusters, agglomerative,
+        centroids, medoids, calinski_harabasz, cluster_profile, cluster_sources, cluster_emoji, ctfidf_terms, topic_terms, topic_labels, style_topic_matrix, sender_stopwords, kmeans_sweep, topic_sweep, best_cluster_k, best_topic_k, kmeans_clusters, agglomerative,
     )
 }
 

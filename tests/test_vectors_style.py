@@ -1,3 +1,5 @@
+import inspect
+
 import numpy as np
 import pytest
 
@@ -7,6 +9,7 @@ from chatloom.operators import profiles as P
 from chatloom.operators import style as S
 from chatloom.operators import topics as K
 from chatloom.operators import vectors as V
+from chatloom.plans import dataset
 from chatloom.plans import profiles as plans
 from pyspark.sql import functions as F
 from tests.conftest import rows
@@ -129,3 +132,16 @@ def test_cues_of_all_situations(spark, monkeypatch):
     monkeypatch.setattr(plans, "_features", lambda spark, d_: P.turn_features(d))
     got = rows(plans.situation_cues_all(spark, ""), "family", "term", "uses")
     assert [g for g in got if g[0] in ("acknowledgement", "conflict_friction", "casual_banter")] == [("acknowledgement", "ok", 1), ("casual_banter", "\U0001f602", 2), ("conflict_friction", "nobody", 1)]
+
+
+def test_sweeps_see_every_k(spark, monkeypatch):
+    assert len(set(inspect.signature(K.kmeans).parameters["seeds"].default)) == 10 and inspect.signature(K.kmeans).parameters["iterations"].default == 300
+    asked = []
+    monkeypatch.setattr(K, "kmeans", lambda rows, k, seeds, key: asked.append((k, len(seeds))) or (vecs(spark).select("pair_id", "cluster_id"), [], 1.0))
+    monkeypatch.setattr(dataset, "_vectors", lambda spark, d: vecs(spark, n=12, d=64).select("pair_id", "v"))
+    assert {r["k"] for r in dataset.kmeans_sweep(spark, "").collect()} == set(range(6, 12)) and set(asked) == {(k, 10) for k in range(6, 12)}
+    seen = []
+    monkeypatch.setattr(K, "sweep", lambda rows, ks: seen.append(list(ks)))
+    dataset.kmeans_sweep(spark, "")
+    dataset.topic_sweep(spark, "")
+    assert seen == [list(range(6, 19)), list(range(5, 13))]
