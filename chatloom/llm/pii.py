@@ -1,8 +1,9 @@
 """Personal information in free text, found under disguises and replaced by typed placeholders.
 
-The text is normalised with a map back to its source positions: look-alike characters to their one form, spelled
-digits to digits, written-out signs of mail addresses to the signs. Identifiers are found in the normalised text
-and their spans are cut out of the source.
+Three transducers normalise the text one after the other, each with a map back to source positions: look-alike
+characters to their one form, spelled digits to digits, written-out signs of mail addresses to the signs.
+Identifiers are found in the normalised text, names by one automaton over all known names, and their spans are
+mapped back and cut out of the source.
 """
 
 from __future__ import annotations
@@ -35,9 +36,12 @@ _D = "|".join(DIGIT_WORDS)
 _SPELLED = re.compile(rf"\b(?:(?:double|triple)\s+)?(?:{_D})\b(?:[\s,-]+(?:(?:double|triple)\s+)?(?:{_D})\b){{5,}}", re.I)
 _SPELLED_ONE = re.compile(rf"(?:(double|triple)\s+)?({_D})\b", re.I)
 
-_DOT = r"(?:\s*\[dot\]\s*|\s*\(dot\)\s*|\s+dot\s+|\.)"
-_AT = r"(?:\s*\[at\]\s*|\s*\(at\)\s*|\s+at\s+|\s*@\s*)"
-EMAIL = re.compile(rf"(?<![\w.+-])[\w+-]+(?:{_DOT}[\w+-]+)*{_AT}[a-z0-9-]+(?:{_DOT}[a-z0-9-]+)*{_DOT}[a-z]{{2,}}(?![\w-])", re.I)
+# A sign of a mail address: written out in brackets or as a word, or the sign itself.
+_SIGN = re.compile(r"\s*\[(at|dot)\]\s*|\s*\((at|dot)\)\s*|\s+(at|dot)\s+|\s*(@)\s*|(\.)", re.I)
+_PART, _HOST, _TOP = re.compile(r"[\w+-]+"), re.compile(r"[a-z0-9-]+", re.I), re.compile(r"[a-z]{2,}(?![\w-])", re.I)
+_LAST_PART = re.compile(r"[\w+-]+$")
+EMAIL = re.compile(r"(?<![\w.+-])[\w+-]+(?:\.[\w+-]+)*@[a-z0-9-]+(?:\.[a-z0-9-]+)*\.[a-z]{2,}(?![\w-])", re.I)
+IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 
 ID_NUMBER = re.compile(
     r"(?<![\w.,/-])(?:\d{3}-\d{2}-\d{4}|\d{4}([ -])\d{4}\1\d{4}|\d{12}|[a-z]{5}\d{4}[a-z]|[a-z]\d{7})(?![\w/-]|[.,]\d)", re.I
@@ -65,7 +69,7 @@ ADDRESS = re.compile(
     rf"|{_NO},\s*{_STREET}{_LOW_CITY}"
     rf"|{_NO}\s+{_STREET}{_CITY}"
     r"|(?:calle|avenida|plaza|paseo|rue|via|camino)\s+(?:[a-zà-ÿ][\w'-]*\s+){1,4}\d{1,4}(?:,\s*\d{1,2}\s?[º°o]\s*[a-z]\b)?"
-    r"|[a-zà-ÿ]{3,}(?:stra(?:ß|ss)e|str\.?|weg|gasse|allee|platz|ring|damm)\s+\d{1,4}[a-z]?(?![\w.])"
+    r"|(?:(?:[a-zà-ÿ]+-)+|(?:[a-zà-ÿ]+-)*[a-zà-ÿ]{3,})(?:stra(?:ß|ss)e|str\.?|weg|gasse|allee|platz|ring|damm)\s+\d{1,4}[a-z]?(?![\w.])"
     r")",
     re.I,
 )
@@ -74,32 +78,87 @@ _ANY = re.compile(r"[\d@]")
 
 
 class Names:
-    """Given and family names and the speakers they came from."""
+    """Given and family names and the speakers they came from, in one automaton."""
 
     def __init__(self, given: set[str], family: set[str], speakers: set[str]):
         self.given, self.family, self.speakers = given, family, speakers
-        g, f = _any_of(given), _any_of(family)
-        self.pattern = re.compile(rf"(?<![\w@.+-])(?:(?:{'|'.join(TITLES)})\.?\s+(?:(?:{g})\s+)?(?:{f})|[a-z]\.\s?(?:{f})|(?:{g})(?:\s+(?:{f}))?)(?![\w@]|[+-]\w)", re.I)
         self.titled = re.compile(rf"(?<![\w@.+-])(?i:{'|'.join(TITLES)})\.?\s+[A-Z][a-z]+(?:-[A-Z][a-z]+)?(?![\w@-])")
-        # one automaton tells whether a text is worth a closer look, and for what
-        self.quick = ahocorasick.Automaton()
-        for kind, words in (("digit", DIGIT_WORDS), ("title", TITLES), ("dot", ["dot"]), ("name", given | family)):
+        # the same automaton tells whether a text is worth a closer look, and for what
+        kinds: dict[str, set[str]] = {}
+        for kind, words in (("digit", DIGIT_WORDS), ("title", TITLES), ("dot", ["dot"]), ("given", given), ("family", family)):
             for w in words:
-                self.quick.add_word(w, kind)
+                if w:
+                    kinds.setdefault(w, set()).add(kind)
+        self.quick = ahocorasick.Automaton()
+        for w, k in kinds.items():
+            self.quick.add_word(w, (len(w), frozenset(k)))
         self.quick.make_automaton()
 
     def hints(self, low: str) -> set[str]:
         """Kinds of words met: name, title and dot once, digit only when six or more are there."""
         out, digits = set(), 0
-        for _, kind in self.quick.iter(low):
-            if kind == "digit":
-                digits += 1
-            else:
-                out.add(kind)
+        for _, (_, kinds) in self.quick.iter(low):
+            digits += "digit" in kinds
+            out |= kinds
+        out -= {"digit"}
         if digits >= 6:
             out.add("digit")
         return out
 
+    def spans(self, form: str) -> list[tuple[int, int]]:
+        """Places of names, from left to right: title and family name, initial and family name, given name alone or with a family name."""
+        low = _lower(form)
+        at: dict[int, list[tuple[int, frozenset[str]]]] = {}  # whole words by start, the longest first
+        for last, (n, kinds) in self.quick.iter(low):
+            a, b = last - n + 1, last + 1
+            if not _inner(low, a - 1) and not _inner(low, b) and kinds & {"given", "family", "title"}:
+                at.setdefault(a, []).append((b, kinds))
+        words = {a: sorted(v, key=lambda x: -x[0]) for a, v in at.items()}
+        found: list[tuple[int, int]] = []
+        starts = set(words) | {k for a in words for k in (a - 2, a - 3) if k >= 0 and _INITIAL.fullmatch(low[k:a])}
+        for a in sorted(starts):
+            if (found and a < found[-1][1]) or (a and (_inner(low, a - 1) or low[a - 1] in "@.+-")):
+                continue
+            end = next((e for e in self._ends(low, words, a) if not (_inner(low, e) or low[e : e + 1] == "@" or (low[e : e + 1] in ("+", "-") and _inner(low, e + 1)))), None)
+            if end:
+                found.append((a, end))
+        return found
+
+    def _ends(self, low: str, words: dict[int, list[tuple[int, frozenset[str]]]], a: int) -> Iterator[int]:
+        """Where a name that starts at a place may end, in order of preference."""
+        here = words.get(a, [])
+        for b, kinds in here:
+            if "title" in kinds:
+                m = _AFTER_TITLE.match(low, b)
+                if m:
+                    for e, k in words.get(m.end(), []):
+                        if "given" in k and (g := _GAP.match(low, e)):
+                            yield from (x for x, y in words.get(g.end(), []) if "family" in y)
+                    yield from (e for e, k in words.get(m.end(), []) if "family" in k)
+        m = _INITIAL.match(low, a)
+        if m:
+            yield from (e for e, k in words.get(m.end(), []) if "family" in k)
+        for b, kinds in here:
+            if "given" in kinds:
+                g = _GAP.match(low, b)
+                if g:
+                    yield from (e for e, k in words.get(g.end(), []) if "family" in k)
+                yield b
+
+
+_GAP, _AFTER_TITLE, _INITIAL = re.compile(r"\s+"), re.compile(r"\.?\s+"), re.compile(r"[a-z]\.\s?")
+
+
+def _inner(t: str, k: int) -> bool:
+    """Whether a word goes on at a place."""
+    return 0 <= k < len(t) and (t[k].isalnum() or t[k] == "_")
+
+
+def _lower(t: str) -> str:
+    """Lower case, character by character, so that places stay."""
+    low = t.lower()
+    return low if len(low) == len(t) else "".join(c.lower() if len(c.lower()) == 1 else c for c in t)
+
 
 def _name_words(s: str, owner: str) -> tuple[str, list[str]]:
     """(given name or nothing, family names) of a speaker: the first word, and capitalised ones after it."""
@@ -144,23 +203,6 @@ def names_of(columns: list[tuple[DataFrame, str]], owner: str = "You") -> Names:
     return Names(found["given"], found["family"] - found["given"], found["speaker"])
 
 
-def _any_of(words: set[str]) -> str:
-    """Pattern of one of the words, the longest first, as a tree of their letters: its time does not grow with their number."""
-    if not words:
-        return "(?!)"
-    heads: dict[str, set[str]] = {}
-    for w in words:
-        if w:
-            heads.setdefault(w[0], set()).add(w[1:])
-    branches = []
-    for c, rest in sorted(heads.items()):
-        head = c
-        while len(rest) == 1 and (only := next(iter(rest))):
-            head, rest = head + only[0], {only[1:]}
-        branches.append(re.escape(head) + (_any_of(rest) if rest != {""} else ""))
-    return "(?:" + "|".join(branches) + ")" + ("?" if "" in words else "")
-
-
 @functools.lru_cache(maxsize=4096)
 def _digits(words: str) -> str:
     return "".join(DIGIT_WORDS[m[2].lower()] * {"double": 2, "triple": 3}.get((m[1] or "").lower(), 1) for m in _SPELLED_ONE.finditer(words))
@@ -176,29 +218,69 @@ def _spoken(words: str) -> tuple[int, str]:
     return 0, _digits(words)
 
 
-def plain(text: str, spelled: bool = True) -> tuple[str, list[int] | None]:
-    """(text with look-alikes and spelled digits undone, source positions of its characters or None where unchanged)."""
-    at = None
-    if not text.isascii():
-        form, where = with_offsets(text)
-        if form != text:
-            text, at = form, where
-    if spelled and _SPELLED.search(text):
-        out, pos, last = [], [], 0
-        src = at or range(len(text) + 1)
-        for m in _SPELLED.finditer(text):
-            skip, d = _spoken(m[0])
-            start = m.start() + skip
-            out.append(text[last:start])
-            pos.extend(src[last:start])
-            out.append(d)
-            # the first digit starts at the words, the position after the last one is their end
-            pos.extend([src[start]] * len(d))
-            last = m.end()
-        out.append(text[last:])
-        pos.extend(src[last : len(text) + 1])
-        text, at = "".join(out), pos
-    return text, at
+Form = tuple[str, list[int] | None]
+
+
+def _rewritten(form: Form, edits: list[tuple[int, int, str]]) -> Form:
+    """A form with places replaced; what comes in for a place starts at its start in the source."""
+    text, at = form
+    if not edits:
+        return form
+    src = at or range(len(text) + 1)
+    out, pos, last = [], [], 0
+    for a, b, to in edits:
+        out += (text[last:a], to)
+        pos.extend(src[last:a])
+        pos.extend([src[a]] * len(to))
+        last = b
+    out.append(text[last:])
+    pos.extend(src[last : len(text) + 1])
+    return "".join(out), pos
+
+
+def same_letters(form: Form) -> Form:
+    """Look-alike characters to their one form."""
+    text, _ = form
+    if text.isascii():
+        return form
+    new, where = with_offsets(text)
+    return (new, where) if new != text else form
+
+
+def digits_for_words(form: Form) -> Form:
+    """Six or more spelled digits in a row to digits."""
+    edits = []
+    for m in _SPELLED.finditer(form[0]):
+        skip, d = _spoken(m[0])
+        edits.append((m.start() + skip, m.end(), d))
+    return _rewritten(form, edits)
+
+
+def signs_for_words(form: Form) -> Form:
+    """Written-out signs of mail addresses to the signs: parts, a sign for at, hosts and signs for dots, up to a last part of letters.
+
+    A chain counts if its at is a sign or in brackets, or one of its dots is written out.
+    """
+    text = form[0]
+    signs = [(m.start(), m.end(), "@" if (w := next(g for g in m.groups() if g).lower()) in ("at", "@") else ".", m[3] is None or w == "dot", m[5] is None) for m in _SIGN.finditer(text)]
+    joined = [i > 0 and _PART.fullmatch(text, signs[i - 1][1], signs[i][0]) is not None for i in range(len(signs))]
+    edits = []
+    for k, (start, end, sign, _, _) in enumerate(signs):
+        if sign != "@" or not _LAST_PART.search(text, max(0, start - 64), start):
+            continue
+        first, last = k, k
+        while joined[first] and signs[first - 1][2] == ".":
+            first -= 1
+        if first < k and not _LAST_PART.search(text, max(0, signs[first][0] - 64), signs[first][0]):
+            first += 1
+        while last + 1 < len(signs) and signs[last + 1][2] == "." and _HOST.fullmatch(text, signs[last][1], signs[last + 1][0]):
+            last += 1
+        while last > k and not _TOP.match(text, signs[last][1]):
+            last -= 1
+        chain = signs[first : last + 1]
+        if last > k and any(sure and (c == "@" or written) for _, _, c, sure, written in chain):
+            edits += [(a, b, c) for a, b, c, _, _ in chain if not edits or a >= edits[-1][1]]
+    return _rewritten(form, [e for e in edits if text[e[0] : e[1]] != e[2]])
 
 
 def detect(text: str | None, names: Names, labels: bool = False) -> list[tuple[int, int, str]]:
@@ -259,7 +341,13 @@ def _in_span(text: str, start: int, stop: int, skip: list[tuple[int, int]], name
     hints = _hints(part, names)
     if not hints:
         return []
-    form, at = plain(part, "digit" in hints or "form" in hints)
+    # look-alikes and spelled digits may show what the hints of the source do not
+    f = same_letters((part, None))
+    if "digit" in hints or "form" in hints:
+        f = digits_for_words(f)
+    if "@" in f[0] or "dot" in hints or ("form" in hints and "dot" in f[0].lower()):
+        f = signs_for_words(f)
+    form, at = f
     taken: list[tuple[int, int, str]] = []
 
     def free(a: int, b: int) -> bool:
@@ -272,12 +360,14 @@ def _in_span(text: str, start: int, stop: int, skip: list[tuple[int, int]], name
         taken += [(back.get(a - start, 0), back.get(b - start, 0), "") for a, b in skip]
     if "omitted>" in form:
         taken += [(*m.span(), "") for m in MEDIA.finditer(form)]
-    if "@" in form or "dot" in hints:
+    if "@" in form:
         for m in EMAIL.finditer(form):
-            sure = "@" in m[0] or re.search(r"[\[(]at[\])]|[\[( ]dot[\]) ]", m[0], re.I)
-            if sure and free(*m.span()):
+            if free(*m.span()):
                 taken.append((*m.span(), "EMAIL"))
     if "number" in hints or at is not None:
+        for m in IBAN.finditer(form):
+            if _checked(m[0]) and free(*m.span()):
+                taken.append((*m.span(), "ID_NUMBER"))
         for kind, rx in (("ADDRESS", ADDRESS), ("ID_NUMBER", ID_NUMBER), ("PHONE", PHONE)):
             for m in rx.finditer(form):
                 k = kind
@@ -287,10 +377,8 @@ def _in_span(text: str, start: int, stop: int, skip: list[tuple[int, int]], name
                     k = "PHONE"
                 if free(*m.span()):
                     taken.append((*m.span(), k))
-    if "name" in hints or "form" in hints:
-        for m in names.pattern.finditer(form):
-            if free(*m.span()):
-                taken.append((*m.span(), "NAME"))
+    if hints & {"given", "family", "title", "form"}:
+        taken += [(*x, "NAME") for x in names.spans(form) if free(*x)]
     if "title" in hints or "form" in hints:
         for m in names.titled.finditer(form):
             if free(*m.span()):
@@ -301,6 +389,12 @@ def _in_span(text: str, start: int, stop: int, skip: list[tuple[int, int]], name
     return [(at[a] + start, _end(at, b) + start, k) for a, b, k in found]
 
 
+def _checked(iban: str) -> bool:
+    """Whether the check digits of an account number hold (ISO 13616)."""
+    s = iban.replace(" ", "")
+    return 15 <= len(s) <= 34 and int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+
+
 def _end(at: list[int], b: int) -> int:
     """Source end of a span: where the next character's source starts, or after the last of several sources."""
     return at[b] if b < len(at) else at[-1]
@@ -308,13 +402,18 @@ def _end(at: list[int], b: int) -> int:
 
 def mask(text: str | None, names: Names, labels: bool = False) -> str | None:
     """text with each occurrence replaced by [TYPE]; null stays null."""
-    if text is None:
-        return None
+    return _masked(text, names, labels)[0]
+
+
+def _masked(text: str | None, names: Names, labels: bool) -> tuple[str | None, int]:
+    found = detect(text, names, labels)
+    if not found:
+        return text, 0
     out, last = [], 0
-    for a, b, k in detect(text, names, labels):
+    for a, b, k in found:
         out += [text[last:a], f"[{k}]"]
         last = b
-    return "".join(out) + text[last:] if out else text
+    return "".join(out) + text[last:], len(found)
 
 
 def occurrences(rows: DataFrame, record_id: str, texts: dict[str, tuple[str, bool]], names: Names) -> DataFrame:
@@ -354,7 +453,7 @@ def masked(rows: DataFrame, texts: dict[str, tuple[str, bool]], names: Names, su
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
             n = Names(*sent.value)
             for s in batches:
-                yield pd.DataFrame({"text": [mask(t, n, labels) for t in s], "n": [len(detect(t, n, labels)) for t in s]})
+                yield pd.DataFrame([_masked(t, n, labels) for t in s], columns=["text", "n"])
 
         return F.pandas_udf(run, "text string, n int").asNondeterministic()
 

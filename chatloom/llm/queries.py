@@ -117,11 +117,25 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, (pii.occurrences(table(spark, d, t), key, texts, names) for t, (key, texts) in PII_TEXTS.items())).distinct()
 
 
+def _masked_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    key, texts = PII_TEXTS[name]
+    out = pii.masked(table(spark, d, name).select(key, *texts), texts, _names(spark, d))
+    return out.select(key, *[c for t in texts for c in (f"{t}_masked", f"{t}_pii_count")]).distinct()
+
+
 def p6_masked(spark: SparkSession, d: str) -> DataFrame:
     """context_pairs with both texts masked."""
-    key, texts = PII_TEXTS["context_pairs"]
-    out = pii.masked(table(spark, d, "context_pairs").select(key, *texts), texts, _names(spark, d))
-    return out.select(key, *[c for t in texts for c in (f"{t}_masked", f"{t}_pii_count")]).distinct()
+    return _masked_table(spark, d, "context_pairs")
+
+
+def p6_masked_messages(spark: SparkSession, d: str) -> DataFrame:
+    """messages with the text masked."""
+    return _masked_table(spark, d, "messages")
+
+
+def p6_masked_parsed(spark: SparkSession, d: str) -> DataFrame:
+    """parsed_messages with the text masked."""
+    return _masked_table(spark, d, "parsed_messages")
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
@@ -146,7 +160,7 @@ QUERIES = {
     "p1_found": p1_found, "p1_segments": p1_segments, "p1_turns": p1_turns,
     "p2_found": p2_found, "p2_runs": p2_runs, 
     "p3_found": p3_found, "p3_splits": p3_splits, "p3_shares": p3_shares, "p4_found": p4_found, "p4_assignments": p4_assignments,
-    "p4_clusters": p4_clusters, "p8_containers": p8_containers, "p8_fill": p8_fill, "p6_found": p6_found, "p6_masked": p6_masked,
+    "p4_clusters": p4_clusters, "p8_containers": p8_containers, "p8_fill": p8_fill, "p6_found": p6_found, "p6_masked": p6_masked, "p6_masked_messages": p6_masked_messages, "p6_masked_parsed": p6_masked_parsed,
     "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found, "p10_classes": p10_classes,
 }
 

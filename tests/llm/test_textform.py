@@ -3,7 +3,7 @@ import unicodedata
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from chatloom.llm.textform import LOOK_ALIKES, look_classes, mapping, one_form, same_look_pairs, with_offsets
+from chatloom.llm.textform import LOOK_ALIKES, look_classes, mapping, normalised, one_form, readable, same_look_pairs, with_offsets
 from tests.conftest import rows
 
 
@@ -17,6 +17,17 @@ def test_visible_differences_stay():
         assert one_form(a) != one_form(b), (a, b)
 
 
+def test_other_scripts_stay_readable(spark):
+    for t in ("Привет мир", "сор и мусор", "Ελλάδα", "Բարև", "नमस्ते दुनिया", "漢字かな"):
+        assert readable(t) == t, t
+    # disguises inside Latin text go, also in words of look-alikes only
+    assert readable("pаypаl, саn you рау") == "paypal, can you pay"
+    assert readable("ᎪᏢᏢᏞᎬ рie") == readable("ᎪᏢᏢᏞᎬ pie") and one_form("ᎠᎬ") == "DE"
+    assert one_form("сор") == one_form("cop")  # equal in print, whatever it is made of
+    d = spark.createDataFrame([("Привет ｆｕｌｌ", 1), (None, 2), (" \u200b", 3)], "text string, text_form int")
+    assert [r["text_form"] for r in normalised(d).collect()] == ["Привет full", None, ""]
+
+
 def test_mapping_has_no_chains():
     m = mapping()
     assert all(x not in m for v in m.values() for x in v)
@@ -31,6 +42,7 @@ def test_once_is_enough_and_offsets_point_home(t):
     form, at = with_offsets(t)
     assert len(at) == len(form) + 1 and at == sorted(at) and at[-1] == len(t)
     assert one_form(unicodedata.normalize("NFC", f)) == one_form(f)
+    assert readable(readable(t)) == readable(t) and one_form(readable(t)) == f
 
 
 def test_pairs_and_classes(spark):
