@@ -26,7 +26,7 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     model = _documents_model(spark, d)
     t = _turns(spark, d, model)
     missing = F.coalesce(F.col("given"), F.lit("")).isin("", "unknown") | (F.trim("given") == "")
-    turns = t.where(missing | ((F.col("class") != F.col("given")) & F.col("sure"))).select(F.col("message_uid").cast("string").alias("record_id"), F.lit(0).alias("segment_no"), F.col("class").alias("label"))
+    turns = t.where(missing | (F.col("class") != F.col("given"))).select(F.col("message_uid").cast("string").alias("record_id"), F.lit(0).alias("segment_no"), F.col("class").alias("label"))
     s = langs.document_languages(table(spark, d, "documents"), machine=model)
     docs = s.where(F.col("given").isNull() | (F.col("segments") > 1) | (F.col("given") != F.col("language")))
     return turns.distinct().unionByName(docs.select(F.concat(F.lit("doc:"), F.col("doc_id").cast("string")).alias("record_id"), "segment_no", F.col("language").alias("label")))

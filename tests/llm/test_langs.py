@@ -4,6 +4,7 @@ from chatloom.llm import langs as L
 from chatloom.llm.pii import learn_names
 from tests.conftest import rows
 
+LANGS = ("en", "hi", "de", "es", "fr")
 R = random.Random(2)
 WORDS = {
     "en": "the house with when they should write about some other thing because nothing was ready before the long winter and our friends were late".split(),
@@ -35,7 +36,7 @@ def test_automaton_counts_pieces():
 
 
 def test_documents(spark):
-    docs = [(k, document(c), c) for k, c in enumerate(L.LANGUAGES * 12)]
+    docs = [(k, document(c), c) for k, c in enumerate(LANGS * 12)]
     docs += [(k + 500, document(c), w) for k, (c, w) in enumerate([("de", "en"), ("fr", "en"), ("en", "hi"), ("hi", None), ("es", "und")])]  # wrong and missing labels
     docs += [(600, document("en", "de", "fr"), "en"), (601, "😂 12 👍", "en"), (602, None, "en"), (603, "", None), (604, "Ref Kubamar-17. " + document("es"), "es"), (605, document("en") * 60, "en")]
     df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
@@ -51,6 +52,47 @@ def test_documents(spark):
     assert L.document_languages(df.limit(0), machine=L.fit_documents(L.document_sample(df))).count() == 0
 
 
+SCRIPTS = {
+    "ru": "дом вместе когда они должны писать про какую другую вещь потому что ничего было готово перед долгой зимой наши друзья пришли поздно".split(),
+    "mr": "घर सोबत जेव्हा त्यांनी लिहावे दुसऱ्या गोष्टी बद्दल कारण काहीही तयार नव्हते लांब हिवाळ्या आधी आमचे मित्र उशिरा आले".split(),
+    "zh": "房子 我们 应该 写 关于 其他 事情 因为 没有 准备 好 漫长 冬天 之前 朋友 来 晚".split(),
+}
+
+
+def test_any_script_and_any_label():
+    said = {**WORDS, **SCRIPTS}
+    text = lambda c: ". ".join(" ".join(R.choice(said[c]) for _ in range(12)) for _ in range(3)) + "."
+    m = L.fit_documents({c: [text(c) for _ in range(14)] for c in said})
+    assert m.names == sorted(said)
+
+    def got(t):
+        parts = [L.letters(x) for x in L.sentences(t)]
+        return [(c, f) for c, f, _, _ in L.stretches(m, m.pieces(parts), [len(x) for x in parts])]
+
+    for c in said:
+        assert [x for x, _ in got(text(c))] == [c], c
+    assert [c for c, _ in got(text("ru") + "\n" + text("en") + "\n" + text("mr"))] == ["ru", "en", "mr"]
+    # a script that no label covers has no language; a short text has one with less confidence than a long one
+    assert got("ສະບາຍດີ ທ່ານສະບາຍດີບໍ ມື້ນີ້ອາກາດດີຫຼາຍ") == []
+    (c, low), = got("weil nichts fertig war")
+    (_, high), = got(text("de") * 3)
+    assert c == "de" and 0 < low < 1 and high > 0.3
+    assert got("12 👍") == [] and got("") == []
+
+
+def test_wrong_labels_do_not_speak_for_each_other():
+    good = {c: [document(c) for _ in range(20)] for c in LANGS}
+    stray = document("en", "en")
+    good["hi"] += [stray, stray + " " + sentence("en"), sentence("en") + " " + stray]
+    m = L.fit_documents(good)
+    assert L.letters(L.sentences(stray)[0]) not in m.clean["hi"]
+
+
+def test_without_labels(spark):
+    df = spark.createDataFrame([(1, "some text here", None), (2, None, "en")], "doc_id long, text string, lang string")
+    assert L.document_languages(df).count() == 0
+
+
 def test_turns(spark):
     names = learn_names(["You", "Mira Talbot"])
     turns = []
@@ -61,7 +103,7 @@ def test_turns(spark):
         turns.append((k, t + R.choice(["", " 😂", " lol", " Mira", "!!!"]), c if R.random() > 0.08 else R.choice(L.CLASSES), c))
     turns += [(2000 + k, t, R.choice([None, "neutral"]), "neutral") for k, t in enumerate(["ok", "haha", "12", "😂😂", "Mira Talbot", "m.talbot@example.org", ""])]
     df = spark.createDataFrame(turns, "message_uid long, text string, classification string, truth string")
-    docs = L.fit_documents({c: [document(c) for _ in range(10)] for c in L.LANGUAGES})
+    docs = L.fit_documents({c: [document(c) for _ in range(10)] for c in LANGS})
     out = L.turn_classes(df.select("message_uid", "text", "classification"), names, docs)
     truth = {r[0]: r[3] for r in turns}
     wrong = [r for r in out.collect() if r["class"] != truth[r["message_uid"]]]
