@@ -59,6 +59,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return r.select(F.col("a").alias("file_a"), F.col("b").alias("file_b"))
 
 
+def p3_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Each source_file with the smallest of those that must land with it, and how many these are."""
+    v = persisted(splits.value_classes(table(spark, d, "context_pairs"), "source_file", SPLIT_KEYS), "file-classes")
+    g = v.groupBy("c").agg(F.min("v").alias("class_id"), F.count(F.lit(1)).alias("files"))
+    return v.join(g, "c").select(F.col("v").alias("source_file"), "class_id", "files")
+
+
+def p3_forest(spark: SparkSession, d: str) -> DataFrame:
+    """Edges of the spanning forest over key values, with the root of their tree."""
+    return splits.forest(table(spark, d, "context_pairs"), SPLIT_KEYS)
+
+
 def p3_splits(spark: SparkSession, d: str) -> DataFrame:
     """Each row's component and split."""
     return splits.grouped_split(table(spark, d, "context_pairs"), SPLIT_KEYS).select(*SPLIT_KEYS, "component", "split")
@@ -159,7 +171,7 @@ def p10_classes(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     "p1_found": p1_found, "p1_segments": p1_segments, "p1_turns": p1_turns,
     "p2_found": p2_found, "p2_runs": p2_runs, 
-    "p3_found": p3_found, "p3_splits": p3_splits, "p3_shares": p3_shares, "p4_found": p4_found, "p4_assignments": p4_assignments,
+    "p3_found": p3_found, "p3_splits": p3_splits, "p3_classes": p3_classes, "p3_forest": p3_forest, "p3_shares": p3_shares, "p4_found": p4_found, "p4_assignments": p4_assignments,
     "p4_clusters": p4_clusters, "p8_containers": p8_containers, "p8_fill": p8_fill, "p6_found": p6_found, "p6_masked": p6_masked, "p6_masked_messages": p6_masked_messages, "p6_masked_parsed": p6_masked_parsed,
     "p9_found": p9_found, "p9_passages": p9_passages, "p10_found": p10_found, "p10_classes": p10_classes,
 }
@@ -168,12 +180,15 @@ _SAME = "nullif(regexp_replace(lower({0}), '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', ''
 _USABLE = """u as (select pair_id, min(vectors) as r, min(vectors)::double[] as v from train_target_vectors where vectors is not null and pair_id is not null and len(vectors) = 64
   and len(list_filter(vectors, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(vectors, lambda x: x <> 0)) > 0 group by pair_id)"""
 
-SQL: dict[str, str] = {
-    "p3_found": f"""with recursive k as (select source_file, '0:' || {_SAME.format('source_file')} as f, '1:' || {_SAME.format('conversation_id')} as c, '2:' || {_SAME.format('pair_id')} as p from context_pairs),
+_FILES = f"""with recursive k as (select source_file, '0:' || {_SAME.format('source_file')} as f, '1:' || {_SAME.format('conversation_id')} as c, '2:' || {_SAME.format('pair_id')} as p from context_pairs),
         r as (select *, coalesce(f, c, p) as x from k), h as (select distinct x, unnest([c, p]) as v from r), m as (select v, min(x) as a from h where v is not null group by v having count(*) > 1),
         e as (select distinct m.a, h.x as b from h join m using (v) where h.x <> m.a), b as (select a, b from e union select b, a from e),
-        reach(a, b) as (select a, b from b union select reach.a, b.b from reach join b on reach.b = b.a), files as (select distinct source_file, x from r where source_file is not null)
-        select distinct l.source_file as file_a, o.source_file as file_b from files l join files o on l.source_file < o.source_file and (l.x = o.x or exists (select 1 from reach where reach.a = l.x and reach.b = o.x))""",
+        reach(a, b) as (select a, b from b union select reach.a, b.b from reach join b on reach.b = b.a), files as (select distinct source_file, x from r where source_file is not null)"""
+
+SQL: dict[str, str] = {
+    "p3_found": _FILES + """ select distinct l.source_file as file_a, o.source_file as file_b from files l join files o on l.source_file < o.source_file and (l.x = o.x or exists (select 1 from reach where reach.a = l.x and reach.b = o.x))""",
+    "p3_classes": _FILES + """, linked as (select l.source_file as f, o.source_file as g from files l join files o on l.x = o.x or exists (select 1 from reach where reach.a = l.x and reach.b = o.x))
+        select f as source_file, min(g) as class_id, count(distinct g) as files from linked group by f""",
     "p4_found": f"""with {_USABLE}, w as (select pair_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) as v from u),
         nb as (select a.pair_id, list(b.pair_id order by b.pair_id) as n from w a, w b where list_dot_product(a.v, b.v) >= 0.75 or a.pair_id = b.pair_id group by 1), g as (select n from nb group by n having count(*) >= 5 and count(*) = len(n))
         select n[1] as first_pair_id, pair_id from nb join g using (n)""",

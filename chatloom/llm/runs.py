@@ -24,6 +24,8 @@ FORWARDED = r"^\s*\[?forwarded\]?:?\s+"
 KNOWN_LEAST = 3
 #: A known word may be a slip for another only if that one is so many times as frequent.
 SLIP_RATIO = 20
+#: Lanes over which the runs of one key are spread.
+LANES = 256
 
 
 def said(text: Column) -> dict[str, Column]:
@@ -159,9 +161,11 @@ def collapse_runs(messages: DataFrame, gap_us: int = GAP_US, least: int = 2, buc
         F.when(F.col("nxt").isNull(), F.col("last.us")).otherwise(F.col("nxt.prev_us")).alias("end_us"),
         F.when(F.col("nxt").isNull(), F.col("last.id")).otherwise(F.col("nxt.prev_id")).alias("last_id"),
     ).where((F.col("n") >= least) | F.col("joins") | F.col("edge"))
-    kw = Window.partitionBy("key").orderBy("start_us", "first_id")
+    # only pieces at the edge of a bucket, at most two of each, have to meet; all others are runs of their own and are spread
+    pieces = pieces.withColumn("lane", F.when(F.col("joins") | F.col("edge"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("first_id"), F.lit(LANES))))
+    kw = Window.partitionBy("key", "lane").orderBy("start_us", "first_id")
     runs = pieces.withColumn("r", F.sum((~F.col("joins")).cast("int")).over(kw.rowsBetween(Window.unboundedPreceding, 0)))
-    g = runs.groupBy("key", "r").agg(F.min(F.struct("start_us", "first_id", "actor")).alias("lo"), F.max(F.struct("end_us", "last_id")).alias("hi"), F.sum("n").alias("n")).where(F.col("n") >= least)
+    g = runs.groupBy("key", "lane", "r").agg(F.min(F.struct("start_us", "first_id", "actor")).alias("lo"), F.max(F.struct("end_us", "last_id")).alias("hi"), F.sum("n").alias("n")).where(F.col("n") >= least)
     return g.select(
         F.col("key").alias(key), F.col("lo.actor").alias(actor), F.col("lo.first_id").alias(f"first_{event_id}"), F.col("hi.last_id").alias(f"last_{event_id}"),
         F.timestamp_micros("lo.start_us").alias("run_start"), F.timestamp_micros("hi.end_us").alias("run_end"), F.col("n").alias("message_count"),

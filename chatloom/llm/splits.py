@@ -93,9 +93,22 @@ def components(records: DataFrame, keys: list[str]) -> DataFrame:
     return out.drop("root", "__anchor", *[f"__k{i}" for i in range(len(keys))])
 
 
-def deal(sizes: DataFrame, splits: tuple[tuple[str, float], ...] = SPLITS, heavy: int = HEAVY, lanes: int = 64) -> DataFrame:
-    """component, n -> component, n, split. Heavy components go, by size, where most is lacking; the others are dealt
-    systematically inside their size band, in the shares that are left."""
+def forest(records: DataFrame, keys: list[str]) -> DataFrame:
+    """(a, b, root): the edges of the spanning forest over key values and the root of their tree, one row per edge.
+
+    A value is written as the number of its key and the value itself; a tree of one value has no edge.
+    """
+    k = keyed(records.select(*keys), keys)
+    tree, comp = spanning_forest(anchor_edges(k.where(F.col("__anchor").isNotNull()), keys))
+    return tree.join(comp.withColumnRenamed("node", "a"), "a").select("a", "b", "root")
+
+
+def deal(sizes: DataFrame, splits: tuple[tuple[str, float], ...] = SPLITS, heavy: int = HEAVY, lanes: int = 64) -> tuple[DataFrame, DataFrame]:
+    """component, n -> component, n, split, for heavy components and for the others.
+
+    Heavy components go, by size, where most is lacking; the others are dealt systematically inside their size band,
+    in the shares that are left.
+    """
     spark = sizes.sparkSession
     total = sizes.agg(F.sum("n")).first()[0] or 0
     least = max(1, -(-total // heavy))
@@ -119,20 +132,28 @@ def deal(sizes: DataFrame, splits: tuple[tuple[str, float], ...] = SPLITS, heavy
     for s in names[:-1]:
         edge += rest[s] / whole
         choice = F.when(F.col("u") < edge, s) if choice is None else choice.when(F.col("u") < edge, s)
-    return dealt.unionByName(small.select("component", "n", choice.otherwise(names[-1]).alias("split")))
+    return dealt, small.select("component", "n", choice.otherwise(names[-1]).alias("split"))
 
 
 def grouped_split(records: DataFrame, keys: list[str], splits: tuple[tuple[str, float], ...] = SPLITS) -> DataFrame:
     """records with component and split. Columns of these names are replaced; repeated records count as often as they occur."""
     c = persisted(components(records.drop("component", "split"), keys), "split-components")
-    d = deal(c.groupBy("component").agg(F.count(F.lit(1)).alias("n")), splits)
-    return c.join(d.select("component", "split"), "component")
+    big, small = deal(c.groupBy("component").agg(F.count(F.lit(1)).alias("n")), splits)
+    # rows of heavy components, of which there are at most HEAVY, meet their split without a shuffle
+    d = c.join(F.broadcast(big.select("component", "split")), "component", "left")
+    rest = d.where(F.col("split").isNull()).drop("split").join(small.select("component", "split"), "component")
+    return d.where(F.col("split").isNotNull()).unionByName(rest)
 
 
-def linked_values(records: DataFrame, key: str, keys: list[str]) -> DataFrame:
-    """(a, b), a < b: different values of `key`, as written, whose records are in one component."""
+def value_classes(records: DataFrame, key: str, keys: list[str]) -> DataFrame:
+    """(v, c): each value of `key`, as written, with the class of values that must stay together."""
     k = keyed(records.select(*keys), keys)
     _, comp = spanning_forest(anchor_edges(k.where(F.col("__anchor").isNotNull()), keys))
     v = k.where(F.col(key).isNotNull()).select(F.col(key).alias("v"), "__anchor").distinct()
-    v = v.join(comp.withColumnRenamed("node", "__anchor"), "__anchor", "left").select("v", F.coalesce("root", "__anchor").alias("c")).where("c is not null").distinct()
+    return v.join(comp.withColumnRenamed("node", "__anchor"), "__anchor", "left").select("v", F.coalesce("root", "__anchor").alias("c")).where("c is not null").distinct()
+
+
+def linked_values(records: DataFrame, key: str, keys: list[str]) -> DataFrame:
+    """(a, b), a < b: different values of `key`, as written, whose records are in one component."""
+    v = value_classes(records, key, keys)
     return v.select(F.col("v").alias("a"), "c").join(v.select(F.col("v").alias("b"), "c"), "c").where("a < b").select("a", "b").distinct()

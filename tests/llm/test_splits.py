@@ -54,4 +54,4 @@ def test_split_keeps_together_and_near_shares(spark):
     n = {r["split"]: r["count"] for r in out.groupBy("split").count().collect()}
     assert abs(n["train"] / len(d) - 0.7) < 0.01 and abs(n["dev"] / len(d) - 0.15) < 0.01
     assert len(out.where("source_file in ('f1', 'f2', 'f3')").select("component").distinct().collect()) == 1
-    assert deal(spark.createDataFrame([], "component string, n long")).count() == 0
+    assert [d.count() for d in deal(spark.createDataFrame([], "component string, n long"))] == [0, 0]
