@@ -2,16 +2,14 @@
 
 No raw event is ever sorted: all events of one key inside one span of the length of the gap belong to one
 session, so a batch is first combined to one row for each key and span (map-side, whatever the skew), and only
-these rows are ordered. Stored sessions are kept in parts by key; a batch rewrites the parts it touches and
-publishes them with one rename of a manifest.
+these rows are ordered. Stored sessions are kept in files by key and slice of time; a batch reads and replaces only
+the files that hold sessions within the gap of its own, and publishes them with one rename of a manifest.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +18,9 @@ from chatloom.runtime import persisted, scratch
 HOUR_US = 3_600_000_000
 GAP_US = 4 * HOUR_US
 
+SLICE_US = 365 * 24 * HOUR_US  # stored sessions are cut into files by the slice they start in
+PART_SESSIONS = 10_000  # sessions of the first batch for each part of the keys
+
 SPANS = "key string, part int, start_us long, end_us long, first_id string, last_id string, events long, actors array<string>"
 
 
@@ -60,69 +61,89 @@ def gaps_sessions(df: DataFrame, key: str, ts: str, gap_us: int, order: list[str
     return df.withColumn("__new", new).withColumn("session_index", F.sum("__new").over(w)).drop("__new")
 
 
-class SessionTable:
-    """Sessions by key in a folder: parts/<id> hold rows, MANIFEST names the files of each part.
+class ConcurrentMerge(RuntimeError):
+    """Another writer has published since the manifest was read; nothing of this merge is visible."""
+
 
-    merge(batch) compares the batch's local sessions with the stored sessions of the touched parts, merges what
-    the gap bridges and replaces these parts at once: readers see the old manifest or the new one. Event ids seen
-    before are dropped, so a batch may be delivered again. Null keys are one key of their own; a batch without rows
-    leaves the table as it is.
+class SessionTable:
+    """Sessions by key in a folder, with numbered manifests; the one of the highest number counts.
+
+    A manifest names files of sessions, each of one part of the keys and one slice of time, with the span they cover,
+    and files of seen ids with the span of their events. merge(batch) compares the batch's local sessions with the
+    stored ones of the files within the gap, merges what the gap bridges and replaces these files at once: readers
+    see the old manifest or the new one, and of two writers that start from one manifest the later one fails. Ids
+    seen before are dropped by value, so a batch may be delivered again; with lateness_us, a batch is not compared
+    with ids whose newest event lies more than that before its oldest one. Null keys are one key of their own; a
+    batch without rows leaves the table as it is. The number of parts follows the size of the first batch.
     """
 
-    def __init__(self, spark: SparkSession, path: str, gap_us: int = GAP_US, parts: int = 64):
-        self.spark, self.path, self.gap_us, self.parts = spark, path.rstrip("/"), gap_us, parts
+    def __init__(self, spark: SparkSession, path: str, gap_us: int = GAP_US, parts: int | None = None, slice_us: int = SLICE_US, lateness_us: int | None = None):
+        self.spark, self.path, self.gap_us, self.parts, self.slice_us, self.lateness_us = spark, path.rstrip("/"), gap_us, parts, slice_us, lateness_us
         self._fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._fs_path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def manifest(self) -> dict[str, dict[str, str]]:
-        """Folder of the sessions and folders of the seen ids, by part."""
-        p = self._fs_path(f"{self.path}/MANIFEST")
-        if not self._fs.exists(p):
-            return {"sessions": {}, "ids": {}}
-        return json.loads(self.spark.read.text(f"{self.path}/MANIFEST", wholetext=True).first()[0])
+    def manifest(self) -> dict:
+        """number, parts, sessions (path, part, lo, hi) and ids (path, lo, hi)."""
+        found = self._fs.globStatus(self._fs_path(f"{self.path}/manifests/*"))
+        names = [x.getPath().getName() for x in found] if found else []
+        names = [n for n in names if n.isdigit()]
+        if not names:
+            return {"number": 0, "parts": self.parts, "sessions": [], "ids": []}
+        return json.loads(self.spark.read.text(f"{self.path}/manifests/{max(names)}", wholetext=True).first()[0])
 
     def _publish(self, manifest: dict) -> None:
-        tmp, final = self._fs_path(f"{self.path}/MANIFEST.{uuid.uuid4().hex}"), self._fs_path(f"{self.path}/MANIFEST")
+        jvm = self.spark.sparkContext._jvm
+        tmp, final = self._fs_path(f"{self.path}/manifests/.{uuid.uuid4().hex}"), self._fs_path(f"{self.path}/manifests/{manifest['number']:012d}")
         out = self._fs.create(tmp, True)
         out.write(bytearray(json.dumps(manifest).encode()))
         out.close()
-        jvm = self.spark.sparkContext._jvm
         fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        opts = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        opts[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        fc.rename(tmp, final, opts)
+        none = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+        try:
+            fc.rename(tmp, final, none)
+        except Exception as e:
+            self._fs.delete(tmp, False)
+            raise ConcurrentMerge(str(final)) from e
 
     def read(self) -> DataFrame:
         return self._rows(self.manifest()["sessions"])
 
-    def _rows(self, at: dict[str, str]) -> DataFrame:
-        if not at:
+    def _rows(self, files: list[dict]) -> DataFrame:
+        if not files:
             return self.spark.createDataFrame([], SPANS)
-        # each folder holds one subfolder per part; only the parts named by the manifest are read
-        return self.spark.read.option("basePath", self.path).schema(SPANS + ", version string").parquet(*sorted(f"{v}/part={p}" for p, v in at.items())).drop("version")
+        return self.spark.read.option("basePath", f"{self.path}/sessions").schema(SPANS + ", version string, slice long").parquet(*[f["path"] for f in files]).drop("version", "slice")
 
-    def merge(self, batch: DataFrame) -> list[int]:
-        """Merge events(key, id, us, actor), unique by id; returns the parts replaced."""
+    def merge(self, batch: DataFrame) -> list[str]:
+        """Merge events(key, id, us, actor), unique by id; returns the files of sessions that were replaced or added."""
         m, version = self.manifest(), uuid.uuid4().hex
         if m["ids"]:
-            seen = [self.spark.read.parquet(p) for p in m["ids"].values()]
-            batch = batch.join(reduce(DataFrame.union, seen), F.xxhash64("id") == F.col("seen"), "left_anti")
-        ids, rows = f"{self.path}/ids/{version}", f"{self.path}/sessions/version={version}"
-        local = local_sessions(batch, self.gap_us, self.parts)
-        fresh = f"{self.path}/local/{version}"
-        local.write.parquet(fresh)
-        local = self.spark.read.schema(SPANS).parquet(fresh)
-        touched = sorted(r[0] for r in local.select("part").distinct().collect())  # at most `parts` numbers
-        if not touched:
+            lo = batch.agg(F.min("us")).first()[0] if self.lateness_us is not None else None
+            seen = [f["path"] for f in m["ids"] if lo is None or f["hi"] >= lo - self.lateness_us]
+            if seen:
+                batch = batch.join(self.spark.read.schema("seen string").parquet(*seen), F.col("id") == F.col("seen"), "left_anti")
+        local = persisted(local_sessions(batch, self.gap_us, 1).drop("part"), "local-sessions")
+        parts = m["parts"] or max(1, local.count() // PART_SESSIONS)
+        part, at = F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"), F.floor(F.col("start_us") / F.lit(self.slice_us))
+        local = local.withColumn("part", part)
+        reach = local.groupBy("part", at.alias("slice")).agg(F.min("start_us").alias("lo"), F.max("end_us").alias("hi")).collect()  # one row per part and slice
+        if not reach:
             return []
-        stored = self._rows({p: v for p, v in m["sessions"].items() if int(p) in set(touched)})
-        # only stored sessions within the gap can change, but a part is rewritten as a whole
-        bridge(local.unionByName(stored), self.gap_us).repartition("part").write.partitionBy("part").parquet(rows)
-        batch.select(F.xxhash64("id").alias("seen")).write.parquet(ids)
-        m["sessions"] |= {str(p): rows for p in touched}
-        m["ids"][version] = ids
-        self._publish(m)
-        return touched
+        spans: dict[int, list[tuple[int, int]]] = {}
+        for r in reach:
+            spans.setdefault(r["part"], []).append((r["lo"] - self.gap_us, r["hi"] + self.gap_us))
+        near = [f for f in m["sessions"] if any(a < f["hi"] and f["lo"] < b for a, b in spans.get(f["part"], []))]
+        rows, ids = f"{self.path}/sessions/version={version}", f"{self.path}/ids/{version}"
+        merged = bridge(local.unionByName(self._rows(near)), self.gap_us).withColumn("slice", at)
+        merged.repartition("part", "slice").write.partitionBy("part", "slice").parquet(rows)
+        batch.select(F.col("id").alias("seen"), "us").write.parquet(ids)
+        new = self.spark.read.parquet(rows).groupBy("part", "slice").agg(F.min("start_us").alias("lo"), F.max("end_us").alias("hi")).collect()  # one row per file
+        files = [{"path": f"{rows}/part={r['part']}/slice={r['slice']}", "part": r["part"], "lo": r["lo"], "hi": r["hi"]} for r in new]
+        gone = {f["path"] for f in near}
+        m["sessions"] = [f for f in m["sessions"] if f["path"] not in gone] + sorted(files, key=lambda f: f["path"])
+        m["ids"].append({"path": ids, "lo": min(r["lo"] for r in reach), "hi": max(r["hi"] for r in reach)})
+        self._publish({**m, "number": m["number"] + 1, "parts": parts})
+        return sorted(f["path"] for f in files)
 
 
 def sessionise(messages: DataFrame, gap_us: int = GAP_US, batches: int = 2, key: str = "source_file", event_id: str = "message_id", ts: str = "timestamp", actor: str = "sender", arrival: str = "received_at", path: str | None = None) -> DataFrame:

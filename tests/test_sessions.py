@@ -1,7 +1,9 @@
 import random
 from datetime import datetime, timedelta
 
-from chatloom.operators.sessions import GAP_US, SessionTable, sessionise
+import pytest
+
+from chatloom.operators.sessions import GAP_US, ConcurrentMerge, SessionTable, sessionise
 from chatloom.runtime import scratch
 from chatloom.streaming.sessions import merge_into, session_windows
 from tests.conftest import rows
@@ -65,6 +67,42 @@ def test_late_batch_bridges_and_repeats_do_nothing(spark):
     assert t.merge(ev(3).limit(0)) == []
 
 
+def test_small_batch_replaces_few_files(spark):
+    day = 24 * 3_600_000_000
+    t = SessionTable(spark, scratch(spark, "few"), GAP_US, parts=4, slice_us=30 * day)
+    ev = lambda *x: spark.createDataFrame([(f"k{k}", f"{k}:{d}", d * day, "s") for k, d in x], "key string, id string, us long, actor string")
+    assert len(t.merge(ev(*[(k, d) for k in range(40) for d in range(0, 300, 10)]))) == 40  # 4 parts, 10 slices
+    before = {f["path"] for f in t.manifest()["sessions"]}
+    assert len(t.merge(ev((7, 155)))) == 1
+    after = {f["path"] for f in t.manifest()["sessions"]}
+    assert len(before - after) == 1 and len(after - before) == 1
+    # a day outside all stored spans replaces nothing
+    assert len(t.merge(ev((7, 1000)))) == 1 and len(t.manifest()["sessions"]) == 41
+    assert t.read().count() == 40 * 30 + 2
+
+
+def test_two_writers_from_one_manifest(spark):
+    path = scratch(spark, "two")
+    a, b = SessionTable(spark, path, GAP_US, 2), SessionTable(spark, path, GAP_US, 2)
+    ev = lambda x: spark.createDataFrame([("k", x, 0, "s")], "key string, id string, us long, actor string")
+    stale = b.manifest()
+    a.merge(ev("m1"))
+    b.manifest = lambda: stale
+    with pytest.raises(ConcurrentMerge):
+        b.merge(ev("m2"))
+    assert rows(a.read(), "first_id", "events") == [("m1", 1)]
+
+
+def test_ids_are_compared_by_value_and_lateness(spark):
+    day = 24 * 3_600_000_000
+    ev = lambda *x: spark.createDataFrame([("k", i, d * day, "s") for i, d in x], "key string, id string, us long, actor string")
+    for late, want in ((None, 3), (5 * day, 4)):
+        t = SessionTable(spark, scratch(spark, "late"), GAP_US, 2, lateness_us=late)
+        t.merge(ev(("a", 0), ("b", 1)))
+        t.merge(ev(("a", 30), ("c", 30)))  # a comes again with another time, 29 days after the newest id
+        assert sum(r["events"] for r in t.read().collect()) == want
+
+
 def test_stream_merges_like_batch(spark, tmp_path):
     d = data(200, 3)
     df = spark.createDataFrame(d, SCHEMA)
