@@ -1,9 +1,10 @@
 """Timestamps of mixed notation, precision and zone, brought to one instant in UTC.
 
-Each string is reduced to a shape mask (digits, letters and separators by class). Every distinct mask is
-mapped to a field layout once; all strings of one mask have the same length, so their fields are cut out and
-converted as columns of a character matrix. Wall times go through per-zone transition tables: a wall time is
-taken when exactly one offset of the zone leads back to it.
+Each string is reduced to a shape mask: 0 for a digit, a for a letter, other characters as they are. Every distinct
+mask is mapped to a field layout once; all strings of one mask have the same length, so their fields are cut out and
+converted as columns of a character matrix, and words (months, zones, halves of the day) by their distinct values.
+Wall times go through per-zone transition tables: a wall time is taken when exactly one offset of the zone leads back
+to it. Results carry the version of the zone tables.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import re
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 from pathlib import Path
+from typing import NamedTuple
 from zoneinfo import TZPATH, ZoneInfo
 
 import numpy as np
@@ -22,27 +24,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 US = 1_000_000
-MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
 UTC_NAMES = {"z", "utc", "gmt"}
 
 # Marks that carry no time: direction marks, zero-width marks and the byte order mark.
 INVISIBLE = "​‌‍‎‏‪‫‬⁠﻿"
 BLANKS = "     \t"
 
-_MONTH = r"(?P<mon>jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
-_TIME = r"(?P<h>\d{1,2}):(?P<mi>\d{2})(?::(?P<s>\d{2})(?:[.,](?P<f>\d{1,9}))?)?(?:\s?(?P<ap>[ap])\.?m\.?)?"
-_ZONE = r"(?:\s?(?P<z>z|[a-z]{3,5}|[+-]\d{2}(?::?\d{2})?)(?:\[(?P<iana>[a-z0-9_/+-]+)\])?)?"
-_WEEKDAY = r"(?:(?P<wd>mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+)?"
+_MONTH = r"(?P<mon>a{3,9})\.?"
+_TIME = r"(?P<h>0{1,2}):(?P<mi>00)(?::(?P<s>00)(?:[.,](?P<f>0{1,9}))?)?(?:\s?(?P<ap>a)\.?(?P<m>a)\.?(?!a))?"
+_ZONE = r"(?:\s?(?P<z>a|a{3,5}|[+-]00(?::?00)?)(?:\[(?P<iana>[a0_/+-]+)\])?)?"
+_WEEKDAY = r"(?:(?P<wd>a{3,9}),?\s+)?"
 
-# One layout per notation family; a mask is mapped to the first that fits.
+# One layout per notation family, over masks; a mask is mapped to the first that fits.
 LAYOUTS = [
-    ("epoch", re.compile(r"(?P<epoch>\d{10}|\d{13}|\d{16}|\d{19})")),
-    ("ymd", re.compile(_WEEKDAY + r"(?P<y>\d{4})(?P<sep>[-/.])(?P<mo>\d{1,2})(?P=sep)(?P<d>\d{1,2})(?:t|,?\s+)" + _TIME + _ZONE)),
-    ("ymd", re.compile(r"(?P<y>\d{4})(?P<mo>\d{2})(?P<d>\d{2})t?(?P<h>\d{2})(?P<mi>\d{2})(?:(?P<s>\d{2})(?:[.,](?P<f>\d{1,9}))?)?" + _ZONE)),
-    ("dmony", re.compile(_WEEKDAY + r"(?P<d>\d{1,2})[\s-]" + _MONTH + r"[\s-](?P<y>\d{4}|\d{2}),?\s+" + _TIME + _ZONE)),
-    ("dmony", re.compile(_WEEKDAY + _MONTH + r"\s(?P<d>\d{1,2}),?\s+(?P<y>\d{4}),?\s+" + _TIME + _ZONE)),
-    ("numeric", re.compile(r"(?P<p>\d{1,2})(?P<sep>[-/.])(?P<q>\d{1,2})(?P=sep)(?P<y>\d{4}|\d{2}),?\s+" + _TIME + _ZONE)),
+    ("epoch", re.compile(r"(?P<epoch>0{10}|0{13}|0{16}|0{19})")),
+    ("ymd", re.compile(_WEEKDAY + r"(?P<y>0000)(?P<sep>[-/.])(?P<mo>0{1,2})(?P=sep)(?P<d>0{1,2})(?:(?P<t>a)|,?\s+)" + _TIME + _ZONE)),
+    ("ymd", re.compile(r"(?P<y>0000)(?P<mo>00)(?P<d>00)(?P<t>a)?(?P<h>00)(?P<mi>00)(?:(?P<s>00)(?:[.,](?P<f>0{1,9}))?)?" + _ZONE)),
+    ("dmony", re.compile(_WEEKDAY + r"(?P<d>0{1,2})[\s-]" + _MONTH + r"[\s-](?P<y>0000|00),?\s+" + _TIME + _ZONE)),
+    ("dmony", re.compile(_WEEKDAY + _MONTH + r"\s(?P<d>0{1,2}),?\s+(?P<y>0000),?\s+" + _TIME + _ZONE)),
+    ("numeric", re.compile(r"(?P<p>0{1,2})(?P<sep>[-/.])(?P<q>0{1,2})(?P=sep)(?P<y>0000|00),?\s+" + _TIME + _ZONE)),
 ]
+WEEKDAYS = "mon tue wed thu fri sat sun".split()
+#: Years whose changes of offset are always looked up; others only where a time needs them.
+NEAR_YEARS, ALL_YEARS = (1970, 2060), (1840, 2460)
+#: The calendar, and with it the rule of a zone for the future, repeats after 400 years.
+CYCLE_US = 146_097 * 86_400 * US
 
 
 def tz_version() -> str:
@@ -58,61 +65,99 @@ def tz_version() -> str:
         return "system"
 
 
-@functools.lru_cache(maxsize=1024)
-def transitions(zone: str, first: int = 1999, last: int = 2101) -> tuple[np.ndarray, np.ndarray, dict[str, int]] | None:
-    """(UTC microseconds at which an offset starts, offsets in microseconds, offset by abbreviation), None for no zone."""
+class Zone(NamedTuple):
+    """Offsets of a zone: when each starts, its length, its abbreviation, and the offsets each abbreviation has stood for, latest first."""
+
+    at: np.ndarray
+    offset: np.ndarray
+    name: np.ndarray
+    by_name: dict[str, list[int]]
+
+
+@functools.lru_cache(maxsize=2048)
+def transitions(zone: str, years: tuple[int, int] = NEAR_YEARS) -> Zone | None:
+    """Table of a zone over some years (UTC microseconds), None for no zone. The first offset holds for all time before."""
     try:
         z = ZoneInfo(zone)
     except Exception:  # noqa: BLE001 - zoneinfo raises many kinds for bad names
         return None
-    at, off, names = [], [], {}
 
     def look(t: datetime) -> tuple[int, str]:
         w = t.astimezone(z)
-        return int(w.utcoffset().total_seconds()), w.tzname()
+        return int(w.utcoffset().total_seconds()), w.tzname().lower()
 
-    t, end = datetime(first, 1, 1, tzinfo=timezone.utc), datetime(last, 1, 1, tzinfo=timezone.utc)
-    before = look(t)
-    at.append(-(2**62))
-    off.append(before[0])
-    names[before[1].lower()] = before[0]
+    t, end = datetime(years[0], 1, 1, tzinfo=timezone.utc), datetime(years[1], 1, 1, tzinfo=timezone.utc)
+    before, at, states = look(t), [-(2**62)], []
+    states.append(before)
     while t < end:
         nxt = t + timedelta(days=7)
         now = look(nxt)
         if now != before:
             lo, hi = t, nxt
             while hi - lo > timedelta(seconds=1):
-                mid = lo + (hi - lo) / 2
-                mid = mid.replace(microsecond=0)
+                mid = (lo + (hi - lo) / 2).replace(microsecond=0)
                 if mid in (lo, hi):
                     break
                 lo, hi = (mid, hi) if look(mid) == before else (lo, mid)
             at.append(int(hi.timestamp()) * US)
-            off.append(now[0])
-            names[now[1].lower()] = now[0]
+            states.append(now)
             before = now
         t = nxt
-    return np.array(at, "int64"), np.array(off, "int64") * US, names
+    by_name: dict[str, list[int]] = {}
+    for o, name in reversed(states):
+        known = by_name.setdefault(name, [])
+        if o * US not in known:
+            known.append(o * US)
+    return Zone(np.array(at, "int64"), np.array([o for o, _ in states], "int64") * US, np.array([n for _, n in states]), by_name)
+
+
+def _table(zone: str, wall: np.ndarray) -> tuple[Zone | None, np.ndarray]:
+    """(table that covers wall times, what to take off them first): the small one where it does; later cycles of the calendar are read in the last one known."""
+    day = 2 * 86_400 * US
+    lo, hi = (int((datetime(y, 1, 1) - datetime(1970, 1, 1)).total_seconds()) * US for y in NEAR_YEARS)
+    if not len(wall) or (wall.min() >= lo + day and wall.max() < hi - day):
+        return transitions(zone), np.zeros_like(wall)
+    last = int((datetime(ALL_YEARS[1] - 10, 1, 1) - datetime(1970, 1, 1)).total_seconds()) * US
+    return transitions(zone, ALL_YEARS), np.maximum(0, -(-(wall - last) // CYCLE_US)) * CYCLE_US
 
 
 def wall_to_utc(wall: np.ndarray, zone: str) -> tuple[np.ndarray, np.ndarray]:
     """(UTC microseconds, number of instants that show this wall time)."""
-    at, off, _ = transitions(zone)
-    out, n = np.zeros_like(wall), np.zeros(len(wall), int)
-    for o in np.unique(off):
-        u = wall - o
-        ok = off[np.searchsorted(at, u, "right") - 1] == o
+    table, cycle = _table(zone, wall)
+    out, n, near = np.zeros_like(wall), np.zeros(len(wall), int), wall - cycle
+    for o in np.unique(table.offset):
+        u = near - o
+        ok = table.offset[np.searchsorted(table.at, u, "right") - 1] == o
         out = np.where(ok, u, out)
         n += ok
-    return out, n
+    return out + cycle, n
+
+
+def named_to_utc(wall: np.ndarray, zone: str, name: str) -> np.ndarray | None:
+    """UTC microseconds of wall times under an abbreviation of the zone, None for one it never had.
+
+    Where the abbreviation has stood for several offsets, the one in force then; at times when none was, the latest.
+    """
+    table, cycle = _table(zone, wall)
+    known = table.by_name.get(name) or (transitions(zone, ALL_YEARS).by_name.get(name) if name not in table.by_name else None)
+    if not known:
+        return None
+    out, done = wall - known[0], np.zeros(len(wall), bool)
+    if len(known) > 1:
+        for o in known:
+            u = wall - cycle - o
+            k = np.searchsorted(table.at, u, "right") - 1
+            ok = (table.offset[k] == o) & (table.name[k] == name) & ~done
+            out, done = np.where(ok, u + cycle, out), done | ok
+    return out
 
 
 def _mask(s: str) -> str:
-    """Digits to 0; letters stay, they name months, zones and halves of the day."""
+    """Digits to 0, letters to a."""
     return s.translate(_TO_MASK)
 
 
-_TO_MASK = str.maketrans("123456789", "0" * 9)
+_TO_MASK = str.maketrans("123456789bcdefghijklmnopqrstuvwxyz", "0" * 9 + "a" * 25)
 _TIDY = str.maketrans({**{c: None for c in INVISIBLE}, **{c: " " for c in BLANKS}})
 
 
@@ -128,7 +173,7 @@ def days_from_civil(y: np.ndarray, m: np.ndarray, d: np.ndarray) -> tuple[np.nda
 
 @functools.lru_cache(maxsize=65536)
 def _layout(mask: str) -> tuple[str, dict[str, tuple[int, int]]] | None:
-    """Kind and field spans of a mask. Letters are part of it, so month, zone and am/pm are fixed per mask."""
+    """Kind and field spans of a mask."""
     for kind, rx in LAYOUTS:
         if m := rx.fullmatch(mask):
             return kind, {k: m.span(k) for k, v in m.groupdict().items() if v is not None}
@@ -164,13 +209,24 @@ def parse(texts: np.ndarray, zones: np.ndarray, orders: np.ndarray) -> tuple[np.
                 v = v * 10 + (chars[:, j].view("uint32").astype("int64") - 48)
             return v
 
-        def word(k: str) -> str:
-            return mask[span[k][0] : span[k][1]]
+        def words(k: str) -> tuple[list[str], np.ndarray]:
+            """(distinct words of a field, which one each row has)."""
+            a, b = span[k]
+            u, inv = np.unique(np.ascontiguousarray(chars[:, a:b]).view(f"U{b - a}")[:, 0], return_inverse=True)
+            return u.tolist(), inv
+
+        def number(k: str, of: list[str]) -> np.ndarray:
+            """Place of each row's word, by its first three letters, or -1."""
+            u, inv = words(k)
+            return np.array([of.index(w[:3]) if w[:3] in of else -1 for w in u])[inv]
 
         if kind == "epoch":
             e, width = num("epoch"), span["epoch"][1] - span["epoch"][0]
             out[at], status[at] = {10: e * US, 13: e * 1000, 16: e, 19: e // 1000}[width], "ok"
             continue
+        said = np.ones(len(rows), bool)  # whether the words are words of a time
+        if "t" in span:
+            said &= chars[:, span["t"][0]] == "t"
         year = num("y")
         if span["y"][1] - span["y"][0] == 2:
             year = year + 2000
@@ -183,7 +239,8 @@ def parse(texts: np.ndarray, zones: np.ndarray, orders: np.ndarray) -> tuple[np.
                 day, month = np.where(p > 12, p, q), np.where(p > 12, q, p)
         else:
             day = num("d")
-            month = np.full(len(rows), MONTHS[word("mon")]) if "mon" in span else num("mo")
+            month = number("mon", MONTHS) + 1 if "mon" in span else num("mo")
+            said &= month > 0 if "mon" in span else True
             unclear = np.zeros(len(rows), bool)
         days, ok = days_from_civil(year, month, day)
         hour, minute = num("h"), num("mi")
@@ -193,44 +250,58 @@ def parse(texts: np.ndarray, zones: np.ndarray, orders: np.ndarray) -> tuple[np.
             width = span["f"][1] - span["f"][0]
             micro = num("f") * 10 ** (6 - width) if width <= 6 else num("f") // 10 ** (width - 6)
         if "ap" in span:
+            half = chars[:, span["ap"][0]]
+            said &= np.isin(half, ("a", "p")) & (chars[:, span["m"][0]] == "m")
             ok &= (hour >= 1) & (hour <= 12)
-            hour = hour % 12 + (12 if word("ap") == "p" else 0)
+            hour = hour % 12 + np.where(half == "p", 12, 0)
         ok &= (hour <= 23) & (minute <= 59) & (second <= 59)
         if "wd" in span:
-            ok &= (days + 3) % 7 == "mon tue wed thu fri sat sun".split().index(word("wd"))
-        wall = ((days * 24 + hour) * 60 + minute) * 60 * US + second * US + micro
-        z = word("z") if "z" in span else None
-        if z is not None and z[0] in "+-":
+            weekday = number("wd", WEEKDAYS)
+            said &= weekday >= 0
+            ok &= (days + 3) % 7 == weekday
+        # an impossible date must not call for far years
+        wall = np.where(ok, ((days * 24 + hour) * 60 + minute) * 60 * US + second * US + micro, 10_957 * 86_400 * US)
+        why = np.full(len(rows), "ok", object)
+        if "z" in span and mask[span["z"][0]] in "+-":
             a, b = span["z"]
-            sign = -1 if z[0] == "-" else 1
+            sign = np.where(chars[:, a] == "-", -1, 1)
             digits = [j for j in range(a + 1, b) if mask[j] == "0"]
             v = [chars[:, j].view("uint32").astype("int64") - 48 for j in digits]
             hh = v[0] * 10 + v[1]
             mi = v[2] * 10 + v[3] if len(v) == 4 else 0 * hh
             ok &= (hh <= 15) & (mi <= 59)
-            utc, why = wall - sign * (hh * 60 + mi) * 60 * US, None
-        elif z in UTC_NAMES:
-            utc, why = wall, None
-        elif z is not None:
-            table = transitions(zone) if zone else None
-            utc, why = (wall - table[2][z] * US, None) if table and z in table[2] else (wall, "bad_zone" if zone else "no_zone")
+            utc = wall - sign * (hh * 60 + mi) * 60 * US
+        elif "z" in span:
+            utc = wall.copy()
+            for k, name in enumerate((found := words("z"))[0]):
+                here = found[1] == k
+                if name in UTC_NAMES:
+                    continue
+                if len(name) == 1:
+                    said &= ~here
+                    continue
+                got = named_to_utc(wall[here], zone, name) if zone and transitions(zone) is not None else None
+                if got is None:
+                    why[here] = "bad_zone" if zone else "no_zone"
+                else:
+                    utc[here] = got
         elif not zone:
-            utc, why = wall, "no_zone"
+            utc, why[:] = wall, "no_zone"
         elif transitions(zone) is None:
-            utc, why = wall, "bad_zone"
+            utc, why[:] = wall, "bad_zone"
         else:
             utc, k = wall_to_utc(wall, zone)
-            why = np.where(k == 1, "ok", np.where(k == 0, "never", "twice"))
-        if "iana" in span and z is not None and z[0] in "+-":
-            for r in np.flatnonzero(ok):  # the bracketed name must agree with the offset
-                name = "".join(chars[r, span["iana"][0] : span["iana"][1]])
-                table = transitions(_zone_name(name))
-                if table is not None:
-                    o = table[1][np.searchsorted(table[0], utc[r], "right") - 1]
-                    ok[r] &= o == wall[r] - utc[r]
-        st = np.full(len(rows), "ok", object) if why is None else np.full(len(rows), why, object) if isinstance(why, str) else why.astype(object)
+            why = np.where(k == 1, "ok", np.where(k == 0, "never", "twice")).astype(object)
+        if "iana" in span and mask[span["z"][0]] in "+-":
+            for k, name in enumerate((found := words("iana"))[0]):  # the bracketed name must agree with the offset
+                here = found[1] == k
+                name = _zone_name(name)
+                if transitions(name) is not None:
+                    table, cycle = _table(name, utc[here])
+                    ok[here] &= table.offset[np.searchsorted(table.at, utc[here] - cycle, "right") - 1] == (wall - utc)[here]
+        st = why
         st = np.where(unclear, "ambiguous_order", st)
-        st = np.where(ok, st, "no_date")
+        st = np.where(said, np.where(ok, st, "no_date"), "junk")
         out[at], status[at] = utc, st
     return out, status
 
@@ -252,13 +323,14 @@ def file_orders(messages: DataFrame, ts: str, key: str) -> DataFrame:
 
 
 def normalise_timestamps(messages: DataFrame, files: DataFrame, ts: str = "timestamp", key: str = "source_file", zone: str = "time_zone") -> DataFrame:
-    """messages with utc_micros (null unless the string denotes exactly one instant) and ts_status.
+    """messages with utc_micros (null unless the string denotes exactly one instant), ts_status and tz_version.
 
     files gives one zone per key; the order of day and month is decided per key over all its rows. Nulls and blanks
     get status 'empty', an unknown key counts as a key without a zone. Columns of messages keep their names; those
-    added are utc_micros and ts_status, replacing any of that name. An empty table gives an empty table.
+    added are utc_micros, ts_status and tz_version, the version of the zone tables, replacing any of that name. An
+    empty table gives an empty table.
     """
-    base = messages.drop("utc_micros", "ts_status")
+    base = messages.drop("utc_micros", "ts_status", "tz_version")
     fields = base.columns
     z = files.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__zk")).agg(F.min(zone).alias("__zone"))
     o = file_orders(base.where(F.col(key).isNotNull()), ts, key).select(F.col(key).alias("__ok"), F.col("day_order").alias("__order"))
@@ -273,4 +345,4 @@ def normalise_timestamps(messages: DataFrame, files: DataFrame, ts: str = "times
 
     parsed = F.pandas_udf(run, "utc_micros long, ts_status string").asNondeterministic()  # else a filter on the result runs it twice
     out = joined.withColumn("__p", parsed(F.col(ts), F.col("__zone"), F.col("__order")))
-    return out.select(*[F.col(f"`{c}`") for c in fields], F.col("__p.utc_micros").alias("utc_micros"), F.col("__p.ts_status").alias("ts_status"))
+    return out.select(*[F.col(f"`{c}`") for c in fields], F.col("__p.utc_micros").alias("utc_micros"), F.col("__p.ts_status").alias("ts_status"), F.lit(tz_version()).alias("tz_version"))

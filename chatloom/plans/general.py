@@ -13,7 +13,7 @@ from chatloom.sources.tables import table
 def p5_normalised(spark: SparkSession, d: str) -> DataFrame:
     """Every message with its instant, or the reason why it has none."""
     r = normalise_timestamps(table(spark, d, "parsed_messages"), table(spark, d, "export_files"))
-    return r.select("message_uid", "timestamp", "utc_micros", "ts_status").distinct()
+    return r.select("message_uid", "timestamp", "utc_micros", "ts_status", "tz_version").distinct()
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
