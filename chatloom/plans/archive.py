@@ -99,6 +99,36 @@ def pii_mask(spark: SparkSession, d: str) -> DataFrame:
     return masking.sanitized(_messages(spark, d).select("message_id", "text")).select("message_id", "text", "original_text_masked")
 
 
+#: Texts with what must come out of them, and the categories found.
+MASK_CASES = [
+    ("write to desk.one@example.com or b.c@mail.example.org today", "write to [EMAIL] or [EMAIL] today", "email"),
+    ("see https://www.example.com/a/?x=1 and https://meet.example.org/k-l-m.", "see [URL] and [URL].", "url"),
+    ("(docs at example.io/guide)", "(docs at [URL])", "url"),
+    ("ring +91 90000 43210 later", "ring [PHONE_NUMBER] later", "phone_number"),
+    ("number 9000043210, thanks", "number [PHONE_NUMBER], thanks", "phone_number"),
+    ("here: 90000 56789", "here: [PHONE_NUMBER]", "phone_number"),
+    ("office +44 20 7946 0958", "office [PHONE_NUMBER]", "phone_number"),
+    ("short +44 20 7946", "short +44 20 7946", ""),
+    ("pay 500 to someone@okaxis or shop@paytm.", "pay 500 to [UPI_ID] or [UPI_ID].", "upi_id"),
+    ("password is Hidden987", "password is [CREDENTIAL]", "credential"),
+    ("key: AIzaSyA0example1234567890abcdefghijkl", "key: [CREDENTIAL]", "credential"),
+    ("some.account@example.com\nHidden987", "[EMAIL]\n[CREDENTIAL]", "credential,email"),
+    ("Your OTP is 491023 for logging in.", "Your OTP is [OTP] for logging in.", "otp"),
+    ("Enter code: 8829", "Enter code: [OTP]", "otp"),
+    ("card 4111 2222 3333 4444 exp 12/28", "card [FINANCIAL_ID] exp 12/28", "financial_id"),
+    ("broooo this is WILD 😭😭", "broooo this is WILD 😭😭", ""),
+    ("Password toh main bhi bhool gaya 💀", "Password toh main bhi bhool gaya 💀", ""),
+    ("WHAT?! Are you serious?? ...", "WHAT?! Are you serious?? ...", ""),
+    ("Meeting at 10:30, wait for 5 mins, 2026 release", "Meeting at 10:30, wait for 5 mins, 2026 release", ""),
+]
+
+
+def pii_mask_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Each literal case masked."""
+    s = masking.sanitized(spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(MASK_CASES)], "case_no int, text string"))
+    return s.select("case_no", "text", F.array_join("pii_detected", ",").alias("categories"))
+
+
 def pii_categories(spark: SparkSession, d: str) -> DataFrame:
     s = masking.sanitized(_messages(spark, d).select("message_id", "source_file", "text"))
     return s.select(F.explode("pii_detected").alias("category")).groupBy("category").agg(F.count(F.lit(1)).alias("messages"))
@@ -227,9 +257,29 @@ def sql_analysis(c: str) -> str:
     return f"regexp_replace(regexp_replace({c}, '\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')"
 
 
+#: The masking once more, for the other engine, written out.
+_MASKING = [
+    (r"(?i)(?:(?:ht|f)tps?://|www[.])[^\s<>\"'{}|\\^`]*[^\s<>\"'{}|\\^`.,!?:;)\]]", "[URL]"),
+    (r"(?i)(?:[a-z0-9-]+[.])+(?:com|org|net|edu|gov|io|ai|me|app|co|in|dev|ly|be|gl|is)/[^\s<>\"'{}|\\^`]*[^\s<>\"'{}|\\^`.,!?:;)\]]", "[URL]"),
+    (r"(?i)\b[a-z0-9._%+-]+@[a-z0-9.-]+[.][a-z]{2,}\b", "[EMAIL]"),
+    (r"(?i)upi://pay[?][^\s<>\"'{}|\\^`]+", "[UPI_ID]"),
+    (r"(?i)\b[a-z0-9._-]{2,}@(?:ok(?:axis|hdfcbank|icici|sbi)|paytm|ybl|axl|ibl|apl|upi|postbank|federal|icici|hdfcbank|sbi|kotak)\b", "[UPI_ID]"),
+    (r"\bsk-[a-zA-Z0-9]{20,}\b|\bAIza[a-zA-Z0-9_-]{30,45}\b|\bgh[oprsu]_[a-zA-Z0-9]{36}\b|\bxox[abprs]-[a-zA-Z0-9]{10,48}\b", "[CREDENTIAL]"),
+    (r"\beyJ[a-zA-Z0-9_-]{10,}[.]eyJ[a-zA-Z0-9_-]{10,}[.][a-zA-Z0-9_-]{10,}\b", "[CREDENTIAL]"),
+    (r"(?i)(\b(?:pass(?:word|wd|code)|pwd)\s*(?:is|[:=-])\s*)[^\s,.]+", r"\1[CREDENTIAL]"),
+    (r"(\[EMAIL\]\s*\n\s*)[A-Za-z0-9!@#$%^&*()_+=-]{6,}\b", r"\1[CREDENTIAL]"),
+    (r"\b\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}\b", "[FINANCIAL_ID]"),
+    (r"(?i)(\b(?:otp|one-?\s*time\s*password|(?:verification|auth|security)\s*code|passcode)\s*(?:is|[:=-])?\s*)\d{4,8}\b", r"\1[OTP]"),
+    (r"(?i)(\b(?:use|enter|your)\s+(?:code|otp|pin)\s*[:=-]?\s*(?:is\s+)?)\d{4,8}\b", r"\1[OTP]"),
+    (r"[+]\d(?:[\s()-]?[\s()-]?\d){9,14}\b", "[PHONE_NUMBER]"),
+    (r"(?:[+]91[\s-]?)?(?:\b0)?[6-9]\d{4}[\s-]?\d{5}\b", "[PHONE_NUMBER]"),
+    (r"(?:[+]91[\s-]?)?(?:\b0)?[6-9]\d\d[\s-]?\d{3}[\s-]?\d{4}\b", "[PHONE_NUMBER]"),
+]
+
+
 def sql_mask(c: str) -> str:
-    for _, pattern, to in masking.STEPS:
-        c = f"regexp_replace({c}, {_q(pattern)}, {_q(to.replace('$1', chr(92) + '1'))}, 'g')"
+    for pattern, to in _MASKING:
+        c = f"regexp_replace({c}, {_q(pattern)}, {_q(to)}, 'g')"
     return c
 
 
@@ -298,13 +348,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         parse_exports, type_classifier, canonical_ids, sender_stats, speaker_ranking, resolved_speaker, row_issues, order_issues, issue_counts, validation_status, exact_duplicates, potential_duplicates, type_histogram,
-        pii_mask, pii_categories, pii_by_source, normalize_text, nfc_text, analysis_text, token_counts, elongation_topk, caps_topk, emoji_topk, cleaning_report,
+        pii_mask, pii_mask_cases, pii_categories, pii_by_source, normalize_text, nfc_text, analysis_text, token_counts, elongation_topk, caps_topk, emoji_topk, cleaning_report,
         session_headers, session_buckets, session_report, session_initiators, turn_islands, context_pairs, context_depths, latency_buckets,
     )
 }
 
 _MASKED = "masked as (select message_id, source_file, text as raw, " + sql_mask("text") + " as m from one)"
-_MARKS = sorted({(c, to.replace("$1", "")) for c, _, to in masking.STEPS})
+_MARKS = [(m[1:-1].lower(), m) for m in ("[CREDENTIAL]", "[EMAIL]", "[FINANCIAL_ID]", "[OTP]", "[PHONE_NUMBER]", "[UPI_ID]", "[URL]")]
 _CAT = "[x for x in [" + ", ".join(f"case when len(string_split(m, '{k}')) > len(string_split(raw, '{k}')) then '{c}' end" for c, k in _MARKS) + "] if x is not null]"
 
 SQL = {
@@ -334,6 +384,7 @@ SQL = {
     "potential_duplicates": _M + f" select {', '.join(A.POTENTIAL_KEY)}, count(*) as copies, min(message_id) as first_id, max(message_id) as last_id from one group by {', '.join(A.POTENTIAL_KEY)} having count(*) > 1",
     "type_histogram": _M + f" select coalesce(message_type, '<none>') as message_type, count(*) as messages, count(*) filter (not coalesce(lower(message_type) in {A.TYPES}, false)) as unexpected from one group by 1",
     "pii_mask": _M + ", " + _MASKED + " select message_id, m as text, coalesce(m <> raw, false) as original_text_masked from masked",
+    "pii_mask_cases": "select * from (values " + ", ".join(f"({k}, {_q(m)}, {_q(c)})" for k, (_, m, c) in enumerate(MASK_CASES)) + ") as t(case_no, text, categories)",
     "pii_categories": _M + ", " + _MASKED + f" select category, count(*) as messages from (select unnest({_CAT}) as category from masked) group by category",
     "pii_by_source": _M + ", " + _MASKED + " select source_file, count(*) as messages, count(*) filter (coalesce(m <> raw, false)) as masked from masked group by source_file",
     "normalize_text": f"select doc_id, md5({sql_normalize('text')}) as digest, length({sql_normalize('text')}) as characters from documents where text is not null",

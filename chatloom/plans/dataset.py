@@ -231,9 +231,9 @@ def agglomerative(spark: SparkSession, d: str) -> DataFrame:
 P = "p as (select distinct * from context_pairs)"
 _T = "regexp_replace(coalesce(target_text, ''), '^\\s+|\\s+$', '', 'g')"
 _REASON = f"""case when t = '' then 'empty_response'
- when regexp_full_match(t, {_q(D.MEDIA_ONLY[:4] + D.MEDIA_ONLY[5:-1])}) or (t like '<%' and t like '%omitted>') then 'pure_media_response'
- when regexp_matches(t, {_q(D.LINK_ONLY)}) then 'pure_url_response' when regexp_matches(t, {_q(D.NOTICE)}) then 'system_event_response'
- when regexp_matches(t, {_q(D.PING)}) and not regexp_matches(t, {_q(_EMOJI)}) then 'punctuation_ping'
+ when regexp_full_match(t, {_q(r"(?i)(?:\[forwarded\]\s*)?(?:<[^>]+omitted>\s*)+")}) or (t like '<%' and t like '%omitted>') then 'pure_media_response'
+ when t in ('[URL]', '[Forwarded][URL]', '[Forwarded] [URL]', '[Forwarded]' || chr(10) || '[URL]') then 'pure_url_response' when regexp_matches(lower(t), '^-\\s*(messages and calls are end-to-end encrypted|missed (voice|video) call|you (added|removed|created|changed))') then 'system_event_response'
+ when regexp_full_match(t, {_q("[" + chr(92) + "s.,;:_*~`'" + chr(34) + "^/|" + chr(92) * 2 + "-]+")}) and not regexp_matches(t, {_q(_EMOJI)}) then 'punctuation_ping'
  when {sql_analysis(sql_normalize('t'))} = '' then 'empty_analysis_text' end"""
 R = f"{P}, r as (select *, {_REASON} as reason from (select *, {_T} as t from p))"
 _BIN = lambda w, a=3, b=15: f"case when {w} <= {a} then 'short' when {w} <= {b} then 'medium' else 'long' end"

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from chatloom.plans import archive, dataset, general, persona, profiles
+from chatloom.plans import archive, dataset, general, responses, profiles
 
-MODULES = [archive, dataset, profiles, persona, general]
+MODULES = [archive, dataset, profiles, responses, general]
 
 
 def queries() -> dict:

@@ -125,10 +125,18 @@ def package_artifacts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def privacy_audit(spark: SparkSession, d: str) -> DataFrame:
-    """Hits of a block list in masked and unmasked contexts, by source."""
-    p = _pairs(spark, d).where("source_file is not null").select("source_file", F.coalesce("context_text", F.lit("")).alias("a")).withColumn("b", masking.mask(F.col("a")))
-    blocked = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
-    return p.groupBy("source_file").agg(F.sum(F.regexp_count("a", F.lit(blocked))).alias("before"), F.sum(F.regexp_count("b", F.lit(blocked))).alias("after"))
+    """Hits of each blocked expression in contexts and responses before and after masking."""
+    p = _pairs(spark, d)
+    t = p.select(F.lit("context").alias("part"), F.col("context_text").alias("a")).unionByName(p.select(F.lit("target"), F.col("target_text").alias("a")).toDF("part", "a"))
+    before, after = (masking.audit(t.withColumn("x", c), "part", "x").withColumn("stage", F.lit(k)) for k, c in (("before", F.col("a")), ("after", masking.mask(F.col("a")))))
+    return before.unionByName(after).groupBy("part", "stage", "expression").agg(F.sum("hits").alias("hits"))
+
+
+def artifact_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Hits of each blocked expression in the artifacts of the package."""
+    f = _features(spark, d)
+    g, s = R.global_style(f), R.situational_style(f)
+    return masking.audit(R.artifacts(g, s, R.evidence(g, s)), "name", "content")
 
 
 def session_windows_batch(spark: SparkSession, d: str) -> DataFrame:
@@ -139,7 +147,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         style_tags, exemplar_candidates, anonymized_contexts, anonymized_ids, mmr_exemplars, exemplar_diversity, hybrid_search, retrieval_gate, pair_metrics, judge_scores, failure_tags, failure_examples,
-        strategy_summary, behaviour_gap, global_style, situational_style, evidence, package_artifacts, privacy_audit, session_windows_batch,
+        strategy_summary, behaviour_gap, global_style, situational_style, evidence, package_artifacts, privacy_audit, artifact_audit, session_windows_batch,
     )
 }
 
@@ -195,5 +203,7 @@ SQL |= {
     "judge_scores": EV + f" select strategy, {_AV('tone', 'brevity', 'punctuation_mark', 'wording', 'presence', 'judged')} from ev group by 1",
     "failure_tags": EV + ", n as (select strategy, count(*) as a from ev group by 1) select strategy, code, count(*) as turns, round(count(*) / any_value(a), 4) as rate from (select strategy, unnest(codes) as code from ev) join n using (strategy) group by 1, 2",
     "strategy_summary": EV + f" select strategy, count(*) as turns, {_AV('composite', 'judged', 'jaccard', 'length')}, count(*) filter (len(codes) > 0) as failed, count(*) filter (len(codes) = 0) as clean, round(avg((len(codes) > 0)::int), 4) as failure_rate from ev group by 1",
-    "privacy_audit": "with p as (select distinct * from context_pairs), x as (select source_file, coalesce(context_text, '') as a from p where source_file is not null), y as (select source_file, a, " + sql_mask("a") + " as b from x) select source_file, sum(len(regexp_extract_all(a, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')))::bigint as before, sum(len(regexp_extract_all(b, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')))::bigint as after from y group by 1",
+    "privacy_audit": "with p as (select distinct * from context_pairs), t as (select 'context' as part, context_text as a from p union all select 'target', target_text from p), x as (select part, 'before' as stage, a from t union all select part, 'after', " + sql_mask("a") + """ from t),
+        h as (select part, stage, unnest([{'e': 'email', 'n': len(regexp_extract_all(a, '(?i)\\b[a-z0-9._%+-]+@[a-z0-9.-]+[.][a-z]{2,}\\b'))}, {'e': 'financial_id', 'n': len(regexp_extract_all(a, '\\b\\d{4}[ -]?\\d{4}[ -]?\\d{4}[ -]?\\d{4}\\b'))}, {'e': 'mobile_number', 'n': len(regexp_extract_all(a, '\\b[6-9]\\d{9}\\b'))}]) as u from x)
+        select part, stage, u.e as expression, coalesce(sum(u.n), 0)::bigint as hits from h group by 1, 2, 3""",
 }

@@ -54,7 +54,7 @@ def test_cached_stage(spark, tmp_path):
 def test_masking(spark):
     t = ["see https://x.example/a?b=1.", "mail a.b@example.org now", "password is hunter2, ok", "pay me: some.one@okaxis", "card 1234 5678 9012 3456", "otp is 123456", "call +91 90000 12345", "id 12", None, "[EMAIL] already"]
     out = masking.sanitized(spark.createDataFrame([(x,) for x in t], "text string")).collect()
-    assert [r["text"] for r in out] == ["see [URL].", "mail [EMAIL] now", "password is [CREDENTIAL], ok", "pay me: [PAYMENT_ID]", "card [CARD]", "otp is [OTP]", "call [PHONE]", "id 12", None, "[EMAIL] already"]
+    assert [r["text"] for r in out] == ["see [URL].", "mail [EMAIL] now", "password is [CREDENTIAL], ok", "pay me: [UPI_ID]", "card [FINANCIAL_ID]", "otp is [OTP]", "call [PHONE_NUMBER]", "id 12", None, "[EMAIL] already"]
     assert [r["pii_detected"] for r in out][:2] == [["url"], ["email"]] and out[9]["pii_detected"] == [] and not out[8]["original_text_masked"]
 
 
