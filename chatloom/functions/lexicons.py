@@ -1,4 +1,7 @@
-"""Default word lists of the profilers. Every operator takes another Lexicon instead; lists are data, not logic."""
+"""Default word lists of the profilers. Every operator takes another Lexicon instead; lists are data, not logic.
+
+Fixed values: all lists of this module are plain words in everyday use.
+"""
 
 from __future__ import annotations
 
@@ -24,17 +27,23 @@ class Lexicon:
     abbreviation: tuple[str, ...] = _w("pls plz btw idk tbh lol lmao thx msg pic abt okk")
     homograph: tuple[str, ...] = _w("main so the us to par is no in")
     universal: tuple[str, ...] = _w("url email phone forwarded omitted message deleted ok okk lol haha hahaha hmm lmao")
+    conditional: tuple[str, ...] = _w("if agar warna")
+    when: tuple[str, ...] = ("jab",)
+    then: tuple[str, ...] = ("tab",)
+    prohibitive: tuple[str, ...] = _w("mat don't dont")
+    closing_imperative: tuple[str, ...] = _w("kar karo dekho batao")
+    # the commonest words of each language in general, not those of any table
     english: tuple[str, ...] = _w(
-        "i am you are we the a an and but or this that it is was be so not no about after again all almost always angry anywhere ask at back bank before bell bill bored bring broke broken busy cake call "
-        "cannot cancelled card charger class code come confirmed confused contact copy date day days dinner do end error everyone exam excited find finish follow for form give good got great happened happening "
-        "happy helped her here homework hope hungry id if in later laptop let line lives looks lunch mail match meeting missed month moved movie my near new next nine nobody now number of old on one order "
-        "outside over parcel party passport password photo platform please printer reach ready really reset right road room said save score seat send she ships should shows stopped tax thanks there ticket "
-        "tired to told tomorrow tonight total updates us use want week weekend what when why will with working write your"
+        "the be to of and a in that have i it for not on with he as you do at this but his by from they we say her she or an will my one all would there their what so up out if about who get which go me when make can "
+        "like time no just him know take people into year your good some could them see other than then now look only come its over think also back after use two how our work first well way even new want because any "
+        "these give day most us is are was were been has had did does said went made got am very much more many where why here off again always never still too must should may might let need help call tell ask find "
+        "keep put seem leave feel try thing man woman child world life hand part place week case point home water room mother night old great big small long high right left next last same few"
     )
     hindi: tuple[str, ...] = _w(
-        "main mera mujhe maine hum tum tumne tumhe woh usne koi kuch sab kya kyun kahan kitna hai hain tha ho hua hoon gaya raha rahe kar karo karte karega diya bhej bola batao dekho dekha suno chalo aao aana aaya aayega "
-        "aaunga nahi na baat kal parson abhi subah shaam raat baad thodi der mein ko ka ke ki se par aur accha arre yaar bhai bahut jaldi phir milte nikal rakha lekar chahiye khatam khaana chai dawai kaam kahani kapde "
-        "gaadi sabzi mithai kitaab paisa chaabi naraaz khush udaas thaka taiyaar pareshaan bhookha samajh likha likhwaya pata naya ghar jaana lena dena lo le lag hoga hogi wala iss kharab"
+        "main mera meri mere mujhe mujhko maine hum hamara hamari hamare humein tum tumhara tumhari tumhe tumne aap aapka aapki aapko woh wo uska uski uske usko usne ye yeh iska iski iske isko isne unka unki unke unko inka "
+        "kya kyun kyon kab kahan kaise kaisa kaun kisko kiska kitna kitne kitni hai hain tha thi the ho hoon hua hui hue hoga hogi honge gaya gayi gaye raha rahi rahe kar karo karna karke karta karti karte kiya ki ka ke ko se "
+        "mein par tak liye saath aur ya lekin magar agar toh bhi hi nahi nahin mat na haan han accha acha theek thik bahut bohot kuch koi sab sabhi kabhi abhi aaj kal parson phir fir jab tab jaise waise aisa waisa yahan wahan "
+        "jao jana jaana aao aana aaya dekho dekha suno suna bolo bola bol batao bata lo lena do dena diya liya ghar kaam baat din raat paani khana log dost bhai yaar behen mata pita bacha"
     )
     discourse: dict[str, tuple[str, ...]] = field(
         default_factory=lambda: {

@@ -143,14 +143,12 @@ def _n(terms, w: str = "w") -> str:
     return f"len(list_filter({w}, lambda x: list_contains({_l(terms)}, x)))"
 
 
-def _eng(rx: str, to: str = "") -> str:
-    return f"list_contains({_l(L.english)}, regexp_replace(x, '{rx}', '{to}'))"
-
-
+_ONLY_E, _ONLY_H = _l(set(L.english) - set(L.hindi)), _l(set(L.hindi) - set(L.english))
+_LISTED = lambda x: f"when list_contains({_ONLY_H}, {x}) then 'HIN' when list_contains({_ONLY_E}, {x}) then 'ENG'"
+_ENDS = P.endings(L)
 _TAG = f"""list_transform(w, lambda x: case when list_contains({_l(L.universal)}, x) or regexp_full_match(x, '\\p{{N}}+') or length(x) <= 1 then 'UNIV' when list_contains({_l(L.homograph)}, x) then 'AMBIG'
- when list_contains({_l(L.hindi)}, x) and not list_contains({_l(L.english)}, x) then 'HIN' when list_contains({_l(L.english)}, x) and not list_contains({_l(L.hindi)}, x) then 'ENG'
- when (x like '%s' and ({_eng('s$')} or {_eng('es$')})) or (x like '%ed' and ({_eng('ed$')} or {_eng('d$')})) or (x like '%ing' and ({_eng('ing$')} or {_eng('ing$', 'e')})) or (x like '%ly' and ({_eng('ly$')} or {_eng('y$')})) then 'ENG'
- when regexp_matches(x, '(?:ra|ri|re|rha|rhi|rhe|ega|egi|enge|unga|ungi)$') then 'HIN' when regexp_matches(x, '(?:ing|tion|sion|ment|able|ible|ize|ized|ity|ous|less|ful|ed|ly)$') then 'ENG' else 'HIN' end)"""
+ {_LISTED('x')} {' '.join(_LISTED(f"case when length(x) >= {k + 3} then left(x, length(x) - {k}) end") for k in (1, 2, 3))}
+ {' '.join(f"when length(x) > {k} and list_contains({_l([e for e, v in _ENDS.items() if v == t and len(e) == k] + ['-'])}, right(x, {k})) then '{t}'" for k in (3, 2) for t in ('ENG', 'HIN'))} else 'HIN' end)"""
 _SETTLED = """list_transform(raw, lambda x, i: case when x <> 'AMBIG' then x when len(list_filter(list_concat(raw[greatest(i - 2, 1):i - 1], raw[i + 1:i + 2]), lambda y: y = 'ENG')) > len(list_filter(list_concat(raw[greatest(i - 2, 1):i - 1], raw[i + 1:i + 2]), lambda y: y = 'HIN')) then 'ENG' else 'HIN' end)"""
 
 
@@ -183,8 +181,8 @@ f3 as (select *, list_filter(tags, lambda x: x <> 'UNIV') as content from f2),
 f4 as (select pair_id, source_file, conversation_id, label, target_text, message_count, w as words, tags, acts, length(t) as characters, {sql_word_count('t')} as word_count, {_LET} > 0 and t = lower(t) as all_lower, {_LET} > 1 and t = upper(t) and t <> lower(t) as all_upper, regexp_matches(t, '^\\p{{Lu}}') as initial_cap,
   regexp_matches(t, '[.?!]$') as terminal_mark, contains(t, '?') as has_question, contains(t, '??') as many_questions, contains(t, '!') as has_exclamation, contains(t, '!!') as many_exclamations, contains(t, '..') as has_ellipsis,
   len(e) as emoji_count, len(e) > 0 as has_emoji, len(e) > 0 and not regexp_matches(t, '[\\p{{L}}\\p{{N}}]') as emoji_only, len(e) > len(list_distinct(e)) as emoji_burst, regexp_matches(t, '{_ELONG}') as has_elongation, {_any(L.abbreviation)} as has_abbreviation,
-  contains(coalesce(target_text, ''), '?') or {_any(L.interrogative)} as is_question, {_any(L.negation)} as has_negation, {_n(L.negation)} as negations, {_any(('if', 'agar', 'warna'))} or ({_any(('jab',))} and {_any(('tab',))}) as has_conditional,
-  coalesce(list_contains({_l(L.imperative)}, w[1]) or (list_contains(['mat', 'don''t', 'dont'], w[1]) and list_contains({_l(L.imperative)}, w[2])) or list_contains(['kar', 'karo', 'dekho', 'batao'], w[2]), false) as is_imperative,
+  contains(coalesce(target_text, ''), '?') or {_any(L.interrogative)} as is_question, {_any(L.negation)} as has_negation, {_n(L.negation)} as negations, {_any(L.conditional)} or ({_any(L.when)} and {_any(L.then)}) as has_conditional,
+  coalesce(list_contains({_l(L.imperative)}, w[1]) or (list_contains({_l(L.prohibitive)}, w[1]) and list_contains({_l(L.imperative)}, w[2])) or list_contains({_l(L.closing_imperative)}, w[2]), false) as is_imperative,
   {_any(L.first_person)} as first_person, {_any(L.second_person)} as second_person, {_any(L.third_person)} as third_person, {_any(L.modal)} as has_modal, {_n(L.enclitic)} as enclitics,
   case when len(w) <= 2 then 'fragment' when {_any(L.subordinating)} then 'subordinate' when {_any(L.coordinating)} then 'coordinate' else 'simple' end as clause,
   len(list_filter(tags, lambda x: x = 'ENG')) as eng_words, len(list_filter(tags, lambda x: x = 'HIN')) as hin_words, round(len(list_filter(tags, lambda x: x = 'ENG')) / greatest(len(content), 1), 4) as eng_ratio,
