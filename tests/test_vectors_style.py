@@ -99,17 +99,75 @@ def test_homograph_window(spark):
     assert "main" in DEFAULT.homograph
 
 
-def test_evaluation(spark):
-    d = spark.createDataFrame([("a", "p1", "ok yaar", "ok yaar", "Mira: hi"), ("b", "p1", "Certainly! How can I help you with that matter of yours today?", "ok yaar", "Mira: hi"), ("b", "p2", None, None, None)], "strategy string, pair_id string, candidate string, target string, context string")
-    e = E.failures(E.judge(E.pair_metrics(d)))
-    r = {(x["strategy"], x["pair_id"]): x for x in e.collect()}
-    assert r["a", "p1"]["composite"] == 1.0 and r["a", "p1"]["judged"] == 5.0 and r["a", "p1"]["failure_codes"] == []
-    assert {"assistant_phrase", "too_long"} <= set(r["b", "p1"]["failure_codes"]) and r["b", "p1"]["judged"] < 3.5
-    assert r["b", "p2"]["composite"] == 1.0
-    s = {x["strategy"]: x for x in E.summary(e).collect()}
-    assert s["b"]["failed"] == 1 and s["b"]["clean"] == 1 and s["a"]["failure_rate"] == 0.0
-    j = spark.createDataFrame([('text {"score": 9} more',), ("nothing",)], "r string").select(E.parse_judgement(F.col("r"), F.lit(2.0)).alias("s"))
-    assert [x["s"] for x in j.collect()] == [5.0, 2.0]
+EVAL = "strategy string, pair_id string, candidate string, target string, context string"
+
+
+def test_pair_metrics_by_rule(spark):
+    cases = [
+        ("done.", "done", dict(punctuation=0.0, casing=1.0, length=1.0, jaccard=1.0, vocabulary=1.0)),
+        ("done.", "done.", dict(punctuation=0.9)), ("done", "done.", dict(punctuation=0.7)),
+        ("COME NOW PLEASE", "come now please", dict(casing=0.2, jaccard=1.0)), ("come", "Come", dict(casing=0.85)), ("Come", "come", dict(casing=0.5)), ("Come", "Go", dict(casing=1.0)),
+        ("a b c", "a b", dict(length=0.75, jaccard=2 / 3)), ("a", "a b", dict(length=0.6, jaccard=0.5)), ("a b c d e f", "a", dict(length=0.0)),
+        ("", "", dict(jaccard=1.0, length=1.0)), ("!!", "word", dict(jaccard=0.0)), (None, None, dict(jaccard=1.0, punctuation=1.0)),
+        ("nothing here to say", "bhai sahi", dict(vocabulary=0.0)), ("bhai", "bhai sahi", dict(vocabulary=0.5)), ("nothing of that kind", "so what", dict(vocabulary=0.8)),
+    ]
+    d = spark.createDataFrame([("s", f"p{k:02d}", c, t, "") for k, (c, t, _) in enumerate(cases)], EVAL)
+    for r, (c, t, want) in zip(E.pair_metrics(d).orderBy("pair_id").collect(), cases):
+        for k, v in want.items():
+            assert abs(r[k] - v) < 1e-9, (c, t, k, r[k])
+        assert abs(r["composite"] - sum(r[k] * w for k, w in E.WEIGHTS.items())) < 1e-5
+    e = E.pair_metrics(d.limit(1).withColumn("embedding", F.lit(-0.5))).first()
+    assert e["embedding"] == 0.25
+
+
+def test_failures_and_judge_by_rule(spark):
+    long = " ".join(["bhai"] * 36)
+    cases = [
+        ("ok bhai", "ok", "", []), ("ok.", "ok", "", ["ERR_TRAILING_PERIOD"]), ("ok.", "ok.", "", []), ("Certainly bhai", "ok", "", ["ERR_ROBOTIC_AI"]), (long, "", "", ["ERR_TOO_VERBOSE"]),
+        (" ".join(["ka"] * 16), "one two three", "", ["ERR_TOO_VERBOSE"]), (" ".join(["ka"] * 15), "one two three", "", []), ("perhaps kal", "x", "", ["ERR_HIGH_HEDGING"]), ("nice 🎉", "x", "", ["ERR_EXCESSIVE_EMOJI"]), ("😂😂😂😂", "x", "", ["ERR_EXCESSIVE_EMOJI"]),
+        ("my phone is 9000043210", "x", "", ["ERR_HALLUCINATED_PII"]), ("COME NOW FAST", "x", "", ["ERR_CASING_MISMATCH"]), ("going now to buy fruit", "x", "", ["ERR_WRONG_LANGUAGE_MIX"]), ("going now to buy fruit", "x", "fix the api", []), (None, None, None, []),
+    ]
+    d = spark.createDataFrame([("s", f"p{k:02d}", *c[:3]) for k, c in enumerate(cases)], EVAL)
+    got = E.judge(E.failures(d)).orderBy("pair_id").collect()
+    assert [r["failure_codes"] for r in got] == [c[3] for c in cases]
+    by = {(r["candidate"], r["context"]): r for r in got}
+    assert by["ok bhai", ""]["judged"] == 4.9 and by["ok.", ""]["stylistic_adherence"] in (3.5, 5.0) and by["Certainly bhai", ""]["voice_authenticity"] == 1.0 and by["Certainly bhai", ""]["behavioral_consistency"] == 1.5
+    assert by["perhaps kal", ""]["behavioral_consistency"] == 1.5 and by["my phone is 9000043210", ""]["epistemic_grounding"] == 1.0 and by["going now to buy fruit", "fix the api"]["situational_appropriateness"] == 3.5
+    s = E.summary(E.pair_metrics(E.judge(E.failures(d)))).first()
+    assert (s["turns"], s["failed"], s["clean"]) == (15, 10, 5) and s["top_failures"].startswith("ERR_EXCESSIVE_EMOJI=2,ERR_TOO_VERBOSE=2,")
+    assert E.matrix(E.summary(E.pair_metrics(E.judge(E.failures(d))))).count("\n") == 2
+    x = E.failure_examples(E.failures(d)).where("code = 'ERR_TOO_VERBOSE'").orderBy("rank").collect()
+    assert [(r["pair_id"], r["rank"]) for r in x] == [("p04", 1), ("p05", 2)]
+
+
+def test_three_of_one_clean_two_failed(spark):
+    d = spark.createDataFrame([("s", "p1", "ha bhai", "ha", ""), ("s", "p2", "Certainly.", "ha", ""), ("s", "p3", "Perhaps we should.", "ha", "")], EVAL)
+    s = E.summary(E.pair_metrics(E.judge(E.failures(d)))).first()
+    assert (s["clean"], s["failed"]) == (1, 2) and s["top_failures"] == "ERR_TRAILING_PERIOD=2,ERR_HIGH_HEDGING=1,ERR_ROBOTIC_AI=1"
+
+
+def test_behaviour_and_retrieval(spark):
+    d = spark.createDataFrame([("s", "p1", "kya bhai", "kya bhai", ""), ("s", "p2", "Perhaps, dear friend, we might kindly see to that matter tomorrow", "haan", ""), ("s", "p3", None, "haan", "")], EVAL)
+    t = E.behaviour(E.behaviour(d, "candidate", "c_"), "target", "t_")
+    r = {x["pair_id"]: x for x in E.behaviour_gap(t, {k: 0.0 for k in E.BEHAVIOUR}).collect()}
+    assert r["p1"]["c_directness"] == 1.0 and r["p1"]["c_question"] == 1.0 and r["p1"]["mae"] == round(sum(r["p1"]["c_" + k] / 2 for k in E.BEHAVIOUR) / 10, 6) and r["p1"]["behaviour_cosine"] == 1.0
+    assert r["p2"]["c_hedging"] == r["p2"]["c_formality"] == 1.0 and r["p2"]["behaviour"] < r["p1"]["behaviour"]
+    assert all(r["p3"]["c_" + k] == 0.0 for k in E.BEHAVIOUR) and r["p3"]["behaviour_cosine"] == round(1 - r["p3"]["mae"], 6)
+    v = spark.createDataFrame([("a", [1.0, 0.0], "Come HERE!.."), ("b", [0.9, 0.1], "No"), ("c", [0.0, 1.0], "Why")], "pair_id string, v array<double>, response string")
+    f = E.retrieved(v, v.where("pair_id <> 'b'"))
+    assert rows(f, "pair_id", "example") == [("a", "c"), ("b", "a"), ("c", "a")]
+    p = spark.createDataFrame([("b", "x", "Mira: hi\nMira: what now"), ("z", "y", None)], "pair_id string, target_text string, context_text string")
+    c = {(x["pair_id"], x["strategy"]): x["candidate"] for x in E.candidate_texts(p, f).collect()}
+    assert c["b", "retrieved"] == "come here" and c["z", "retrieved"] == "ok" and c["b", "echo"] == "what now" and c["z", "echo"] == ""
+    assert E.retrieved(v.limit(0), v).count() == 0 and E.retrieved(v, v.limit(0)).count() == 0
+
+
+def test_judge_prompt_and_replies(spark):
+    q = spark.range(1).select(E.judge_prompt(F.lit(" yes "), F.lit("no"), F.lit(" ")).alias("q")).first()["q"]
+    assert "(No prior context)" in q and q.endswith("Second response:\nyes\n") and all(a in q for a in E.AXES)
+    r = spark.createDataFrame([('{"overall_score": 99, "voice_authenticity": -3}',), ("no json",), ("[1]",)], "r string")
+    got = E.parse_judgement(r, "r").collect()
+    assert got[0]["overall_score"] == 5.0 and got[0]["voice_authenticity"] == 1.0 and [x["offline"] for x in got] == [False, True, True]
 
 
 def test_examples_are_chosen_from_all_candidates(spark):
