@@ -1,8 +1,9 @@
 """Held-out texts that appear, wholly or in long passages, in a corpus, also when lightly altered.
 
-One Aho-Corasick automaton over word n-grams of the normalised items scans each normalised document once. Hits
-that lie near one diagonal of document and item position are chained, and each chain is grown in both directions
-over altered, lost, doubled and added words. Positions are mapped back to the original text.
+One Aho-Corasick automaton over the normalised items, whole and in phrases of a few words, scans each normalised
+document once. An item found whole is a leak. A band of diagonals of document and item position in which phrases
+cover enough words of the item is looked at word by word: chains of hits are grown in both directions over altered,
+lost, doubled and added words. Positions are mapped back to the original text.
 """
 
 from __future__ import annotations
@@ -13,47 +14,69 @@ import unicodedata
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm.runs import osa
-from chatloom.llm.textform import one_form, with_offsets
+from chatloom.llm.textform import SCRIPTS, readable, with_offsets
 
-GRAM = 4  # words in a pattern
+GRAM = 4  # words in a phrase
 REACH = 30  # words between two hits of a chain
 DRIFT = 6  # words by which the diagonal may move between two hits
 LEAST = 36  # successive words of an item that make a leak
-BLOCK_CHARS = 16_000_000  # items are taken in blocks of so much text, so the automaton has a bound
+BAND = 16  # width of a band of diagonals; bands overlap by half
+COVER, SPAN = 14, 20  # item words in phrases found near each other in one band, and words from the first to the last of them, in a leak of the least length
+WINDOW, GAP = 40, 20  # item words in which these are counted, and words between two phrases of them
+CHUNK = 100_000  # document words looked at together
+ITEM_CHARS = 200_000_000  # the automaton of more text would not fit a worker
 
 _WORD = re.compile(r"[^\W_]+")
+# Letters written as others where accents are left out.
 _FOLD = {"ß": "ss", "œ": "oe", "æ": "ae", "ø": "o", "ł": "l", "đ": "d", "ı": "i"}
-_FOLDS = str.maketrans(_FOLD)
+_DISGUISE = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in SCRIPTS.values()) + "]")
+_ASCII = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in (ord(chr(k).lower()) if k < 128 else 32 for k in range(256)))
 
 
-def fold(text: str) -> str:
-    """Lower case without accents, in one form."""
-    t = one_form(text).lower()
-    if not t.isascii():
-        t = "".join(c for c in unicodedata.normalize("NFKD", t.translate(_FOLDS)) if not unicodedata.combining(c))
-    return t
+class _Folded(dict):
+    """Each character in lower case without accents; blanks for signs, nothing for what does not print. Filled as characters come."""
+
+    def __missing__(self, code: int) -> str:
+        c = readable(chr(code) + ".")[:-1].lower()
+        c = "".join(_FOLD.get(x, x) for x in c)
+        c = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        # a mark by itself belongs to the letter before it
+        self[code] = out = "".join(x if x.isalnum() else " " for x in c)
+        return out
+
+
+_FOLDED = _Folded()
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(fold(text))
+    """Words in lower case without accents, in one form."""
+    if text.isascii():
+        return text.encode().translate(_ASCII).decode().split()
+    return (readable(text) if _DISGUISE.search(text) else text).translate(_FOLDED).split()
 
 
 class Items:
-    """Normalised words of the items, without their stock sentence, with the place of each word among the printed words."""
+    """Normalised words of the items, without their stock sentence, with the place of each word among the printed words.
+
+    A last sentence that ends several items is a stock sentence.
+    """
 
     def __init__(self, rows: list[tuple[int, str]]):
         split = {i: re.split(r"(?<=[.!?])\s+", t.strip()) for i, t in rows if t and t.strip()}
         ends = Counter(" ".join(words_of(s[-1])) for s in split.values() if len(s) > 1)
-        self.words: dict[int, list[str]] = {}
-        self.place: dict[int, list[int]] = {}
-        self.printed: dict[int, int] = {}
+        self.ids: list = []
+        self.words: list[list[str]] = []
+        self.place: list[list[int]] = []
+        self.printed: list[int] = []
         for i, s in split.items():
             if len(s) > 1 and ends[" ".join(words_of(s[-1]))] > 1:
                 s = s[:-1]
@@ -64,17 +87,32 @@ class Items:
                 place += [n] * len(w)
                 n += bool(w)
             if words:
-                self.words[i], self.place[i], self.printed[i] = words, place, n
+                self.ids.append(i)
+                self.words.append(words)
+                self.place.append(place)
+                self.printed.append(n)
+        size = np.array([len(w) for w in self.words], "int64")
+        self.cover, self.span = (np.clip(size * x // LEAST, 1, x) for x in (COVER, SPAN))
 
     def automaton(self) -> ahocorasick.Automaton:
+        """Entries are numbers: k of a phrase, whose items and places are rows first[k] to first[k + 1], or of a whole item after those."""
         where: dict[str, list[tuple[int, int]]] = defaultdict(list)
-        for i, w in self.words.items():
+        whole: dict[str, list[int]] = defaultdict(list)
+        for i, w in enumerate(self.words):
             n = min(GRAM, len(w))
             for p in range(len(w) - n + 1):
                 where[" " + " ".join(w[p : p + n]) + " "].append((i, p))
-        a = ahocorasick.Automaton()
-        for g, at in where.items():
-            a.add_word(g, (len(g), at))
+            whole[" " + " ".join(w) + " "].append(i)
+        # an item no longer than a phrase is the whole of it
+        self.whole = [whole.pop(g, []) for g in where] + list(whole.values())
+        self.length = np.array([len(g) for g in (*where, *whole)], "int64")
+        a = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for k, g in enumerate((*where, *whole)):
+            a.add_word(g, k)
+        self.sole = np.array([bool(x) for x in self.whole], bool)
+        at = np.array([x for v in where.values() for x in v], "int64").reshape(-1, 2)
+        self.first = np.concatenate([[0], np.cumsum([len(v) for v in where.values()], dtype="int64")]).astype("int64")
+        self.item, self.at = at[:, 0].copy(), at[:, 1].copy()
         if len(a):
             a.make_automaton()
         return a
@@ -87,17 +125,21 @@ def alike(a: str, b: str) -> bool:
 
 def grow(doc: list[str], item: list[str], d: int, q: int, step: int) -> tuple[int, int, int]:
     """(document words, item words, item words found) passed from (d, q) in one direction, up to the last sure match."""
+    x, y, found, miss, nd, nq = d, q, 0, 0, len(doc), len(item)
     best = (0, 0, 0)
-    a = b = found = miss = 0
-    nd, nq = len(doc), len(item)
     while True:
-        x, y = d + step * a, q + step * b
+        run = x
+        while 0 <= x < nd and 0 <= y < nq and doc[x] == item[y]:
+            x, y = x + step, y + step
+        if x != run:
+            n = abs(x - run)
+            found, miss = found + n, max(0, miss - n)
+            best = (abs(x - d), abs(y - q), found)
         if not (0 <= x < nd and 0 <= y < nq):
             return best
-        if doc[x] == item[y] or alike(doc[x], item[y]):
-            a, b, found = a + 1, b + 1, found + 1
-            miss = max(0, miss - 1) if doc[x] == item[y] else miss
-            best = (a, b, found)
+        if alike(doc[x], item[y]):
+            x, y, found = x + step, y + step, found + 1
+            best = (abs(x - d), abs(y - q), found)
             continue
         near = (doc[x : x + 6], item[y : y + 6]) if step > 0 else (doc[max(0, x - 5) : x + 1], item[max(0, y - 5) : y + 1])
         if set(near[0]).isdisjoint(near[1]):
@@ -114,7 +156,7 @@ def grow(doc: list[str], item: list[str], d: int, q: int, step: int) -> tuple[in
         miss += max(s, t)
         if miss > 8:
             return best
-        a, b = a + s, b + t
+        x, y = u, v
 
 
 # Nearest first: a doubled or added word in the document, a lost word, a changed one, longer ones after them.
@@ -132,86 +174,147 @@ def _goes_on(at_word: dict[int, list[int]], d: int, q: int) -> bool:
     return False
 
 
-def leaks_in(doc: list[str], items: Items, machine: ahocorasick.Automaton) -> list[tuple[int, int, int, int]]:
-    """(item, printed item words covered, first and last document word) of each leak, the longest per item."""
-    text, starts, n = " " + " ".join(doc) + " ", {}, 1
-    hits: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    found = list(machine.iter(text))
-    if len(found) < 2:
-        return []
-    for k, w in enumerate(doc):
-        starts[n] = k
-        n += len(w) + 1
-    for end, (size, at) in found:
-        d = starts[end - size + 2]
-        for i, q in at:
-            hits[i].append((d, q))
-    out = []
-    for i, h in hits.items():
-        if len(h) < 2:
+def _counts(keys: np.ndarray) -> np.ndarray:
+    """How often each key occurs, or a little more."""
+    bits = max(10, int(len(keys)).bit_length() + 1)
+    slot = (keys.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
+    slot = slot.astype("int64")
+    return np.bincount(slot, minlength=1 << bits)[slot]
+
+
+def _promising(doc: np.ndarray, d: np.ndarray, item: np.ndarray, q: np.ndarray, items: Items) -> np.ndarray:
+    """Which hits (document, word, item, place) lie in a band of diagonals that has what a leak cannot do without."""
+    keep = np.zeros(len(doc), bool)
+    doc = doc - doc.min()
+    pair = doc * len(items.words) + item
+    # so many hits cover at most GRAM words each; counted by hash, where a clash can only keep more
+    many = _counts(pair)
+    some = np.flatnonzero(many * GRAM >= items.cover[item])
+    if not len(some):
+        return keep
+    pair, lane, item, q = pair[some], (d - q)[some], item[some], q[some]
+    for shift in (0, BAND // 2):
+        band = (lane + shift) // BAND
+        band -= band.min()
+        # the same for a band
+        k = pair * (int(band.max()) + 1) + band
+        few = np.flatnonzero(_counts(k) * GRAM >= items.cover[item])
+        if not len(few):
+            continue
+        order = few[np.lexsort((q[few], k[few]))]
+        k = k[order]
+        at = q[order]
+        start = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (np.diff(at) > GAP + GRAM)]))
+        n = np.diff(np.append(start, len(k)))
+        fresh = np.clip(np.diff(at, prepend=0), 0, GRAM)  # words a hit covers that the one before does not
+        fresh[start] = GRAM
+        i = item[order][start]
+        width = at[start + n - 1] - at[start] + GRAM
+        # words covered in the last so many of the item
+        group = np.repeat(np.arange(len(start)), n)
+        place = group * (int(at.max()) + WINDOW + 1) + at
+        back = np.maximum(np.searchsorted(place, place - WINDOW), start[group])
+        total = np.cumsum(fresh)
+        near = np.maximum.reduceat(total - total[back] + GRAM, start)
+        ok = (near >= items.cover[i]) & (width >= items.span[i])
+        keep[some[order[np.repeat(ok, n)]]] = True
+    return keep
+
+
+def leaks_in(docs: list[list[str]], items: Items, machine: ahocorasick.Automaton) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, item, printed item words covered, first and last document word) of each leak, the longest of each pair."""
+    part, size = 0, 0
+    for k in range(len(docs) + 1):
+        if k == len(docs) or size > CHUNK:
+            if k > part:
+                yield from _leaks_of(docs, range(part, k), items, machine)
+            part, size = k, 0
+        if k < len(docs):
+            size += len(docs[k])
+
+
+def _leaks_of(docs: list[list[str]], part: range, items: Items, machine: ahocorasick.Automaton) -> Iterator[tuple[int, int, int, int, int]]:
+    sure: dict[tuple[int, int], tuple[int, int, int]] = {}
+    # one walk over all documents, kept apart by a word that no item has
+    text = [w for k in part for w in (*docs[k], "\n")]
+    begin = np.cumsum([0, *(len(docs[k]) + 1 for k in part)])
+    starts = np.cumsum(np.fromiter(map(len, ["", *text]), "int64", len(text) + 1) + 1)
+    end, p = np.fromiter(chain.from_iterable(machine.iter(" " + " ".join(text) + " ")), "int64").reshape(-1, 2).T
+    at = np.searchsorted(starts, end - items.length[p] + 2)
+    row = np.searchsorted(begin, at, "right") - 1
+    word = at - begin[row]
+    for r, d, x in zip(*(v[items.sole[p]].tolist() for v in (row, word, p))):
+        for i in items.whole[x]:
+            sure.setdefault((part[r], i), (items.printed[i], d, d + len(items.words[i]) - 1))
+    phrase = p < len(items.first) - 1
+    row, word, p = row[phrase], word[phrase], p[phrase]
+    if len(p):
+        n = items.first[p + 1] - items.first[p]
+        at = np.repeat(items.first[p] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
+        hits = np.repeat(row, n), np.repeat(word, n), items.item[at], items.at[at]
+        good = _promising(*hits, items)
+        pairs: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
+        for r, d, i, q in zip(*(x[good].tolist() for x in hits)):
+            if (part[r], i) not in sure:
+                pairs[part[r], i].append((d, q))
+        for (k, i), h in pairs.items():
+            best = _longest(docs[k], items, i, sorted(h))
+            if best[0] >= min(LEAST, items.printed[i]):
+                sure[k, i] = best
+    for (k, i), best in sure.items():
+        yield (k, i, *best)
+
+
+def _longest(doc: list[str], items: Items, i: int, hits: list[tuple[int, int]]) -> tuple[int, int, int]:
+    """(printed item words covered, first and last document word) of the longest passage grown from hits (word, place)."""
+    at_word: dict[int, list[int]] = defaultdict(list)
+    for d, q in hits:
+        at_word[d].append(q)
+    w, place, best, done = items.words[i], items.place[i], (0, 0, 0), []
+    for d, q in hits:
+        if any(d0 <= d <= d1 and q0 <= q <= q1 for d0, d1, q0, q1 in done) or (len(hits) > 1 and not _goes_on(at_word, d, q)):
             continue
-        h.sort()
-        at_word: dict[int, list[int]] = defaultdict(list)
-        for d, q in h:
-            at_word[d].append(q)
-        best, done = (0, 0, 0), []
-        for d, q in h:
-            if any(d0 <= d <= d1 and q0 <= q <= q1 for d0, d1, q0, q1 in done):
-                continue
-            if not _goes_on(at_word, d, q):
-                continue
-            w, place = items.words[i], items.place[i]
-            rd, rq, rf = grow(doc, w, d, q, 1)
-            ld, lq, lf = grow(doc, w, d - 1, q - 1, -1)
-            q0, q1 = q - lq, q + rq - 1
-            done.append((d - ld, d + rd - 1, q0, q1))
-            if q1 < q0 or (rf + lf) < 0.7 * (q1 - q0 + 1):
-                continue
-            covered = place[q1] - place[q0] + 1
-            if covered > best[0]:
-                best = (covered, d - ld, d + rd - 1)
-        if best[0] >= min(LEAST, items.printed[i]):
-            out.append((i, *best))
-    return out
+        rd, rq, rf = grow(doc, w, d, q, 1)
+        ld, lq, lf = grow(doc, w, d - 1, q - 1, -1)
+        q0, q1 = q - lq, q + rq - 1
+        done.append((d - ld, d + rd - 1, q0, q1))
+        if q1 < q0 or (rf + lf) < 0.7 * (q1 - q0 + 1):
+            continue
+        covered = place[q1] - place[q0] + 1
+        if covered > best[0]:
+            best = (covered, d - ld, d + rd - 1)
+    return best
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """key, item key, words, start, end: each document with the items leaked into it, the longest passage of each.
 
     start and end are positions in the original text. An item without text leaks nowhere, a document without text
-    holds nothing; an item shorter than the least length counts when it appears whole. Items are expected to be a
-    bounded held-out set; they are taken in blocks of BLOCK_CHARS characters.
+    holds nothing; an item shorter than the least length counts when it appears whole. Items are a held-out set, which
+    does not grow with the corpus: they travel to the workers, up to ITEM_CHARS characters of them; a larger set is
+    refused and has to be given in parts.
     """
     spark = docs.sparkSession
-    rows = [(r[0], r[1]) for r in items.select(item_key, item_text).where(F.col(item_text).isNotNull() & F.col(item_key).isNotNull()).distinct().toLocalIterator()]
-    rows.sort()
-    blocks, size = [[]], 0
-    for r in rows:
-        if size > BLOCK_CHARS:
-            blocks.append([])
-            size = 0
-        blocks[-1].append(r)
-        size += len(r[1])
+    given = items.select(item_key, item_text).where(F.col(item_text).isNotNull() & F.col(item_key).isNotNull()).distinct()
+    size = given.agg(F.sum(F.length(item_text))).first()[0] or 0
+    if size > ITEM_CHARS:
+        raise ValueError(f"{size} characters of items; give parts of at most {ITEM_CHARS}")
+    sent = spark.sparkContext.broadcast(sorted((r[0], r[1]) for r in given.toLocalIterator()))
     kind, item_kind = dict(docs.dtypes)[key], dict(items.dtypes)[item_key]
     schema = f"`{key}` {kind}, `{item_key}` {item_kind}, words int, start int, end int"
-    out = None
-    for b in blocks:
-        sent = spark.sparkContext.broadcast(b)
-
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            its = Items(sent.value)
-            machine = its.automaton()
-            for pdf in batches:
-                got = []
-                if len(machine):
-                    for k, t in zip(pdf.iloc[:, 0], pdf.iloc[:, 1]):
-                        for i, n, w0, w1 in leaks_in(words_of(t), its, machine):
-                            got.append((k, i, n, *original_span(t, w0, w1)))
-                yield pd.DataFrame(got, columns=[key, item_key, "words", "start", "end"])
-
-        part = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(key, text).mapInPandas(run, schema)
-        out = part if out is None else out.unionByName(part)
-    return out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        its = Items(sent.value)
+        machine = its.automaton()
+        for pdf in batches:
+            got = []
+            if len(machine):
+                keys, texts = pdf.iloc[:, 0].tolist(), pdf.iloc[:, 1].tolist()
+                for k, i, n, w0, w1 in leaks_in([words_of(t) for t in texts], its, machine):
+                    got.append((keys[k], its.ids[i], n, *original_span(texts[k], w0, w1)))
+            yield pd.DataFrame(got, columns=[key, item_key, "words", "start", "end"])
+
+    return docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(key, text).mapInPandas(run, schema)
 
 
 def original_span(text: str, first: int, last: int) -> tuple[int, int]:
