@@ -15,12 +15,13 @@ MEDIA = ("image", "video", "gif", "audio", "sticker", "document", "album")
 NOTICE = r"(?i)^(?:-\s*)?(?:messages and calls are end-to-end encrypted|changed the subject|changed this group's icon|changed the group description|added a new member|you (?:added|removed|created|changed)|.* (?:left|joined|was added|was removed)$|missed (?:voice|video) call)"
 
 
-def deliver_once(messages: DataFrame) -> DataFrame:
-    """One row per message id, the earliest received; ties fall to the smallest line."""
-    rest = [c for c in messages.columns if c not in ("message_id", "received_at", "raw_line_start")]
+def deliver_once(messages: DataFrame, *columns: str) -> DataFrame:
+    """One row per message id, the earliest received; ties fall to the smallest line. With columns, only these travel."""
+    wanted = list(columns) or messages.columns
+    rest = [c for c in wanted if c not in ("message_id", "received_at", "raw_line_start")]
     row = F.struct(F.col("received_at").isNull().alias("n"), "received_at", "raw_line_start", *rest)
     g = messages.groupBy("message_id").agg(F.min(row).alias("r"))
-    return g.select(*[F.col("message_id") if c == "message_id" else F.col(f"r.{c}").alias(c) for c in messages.columns])
+    return g.select(*[F.col("message_id") if c == "message_id" else F.col(f"r.{c}").alias(c) for c in wanted])
 
 
 def sender_stats(messages: DataFrame) -> DataFrame:

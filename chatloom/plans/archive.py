@@ -13,8 +13,8 @@ from chatloom.sources import exports
 from chatloom.sources.tables import table
 
 
-def _messages(spark: SparkSession, d: str) -> DataFrame:
-    return A.deliver_once(table(spark, d, "messages"))
+def _messages(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return A.deliver_once(table(spark, d, "messages"), *columns)
 
 
 ONE = """one as (select * exclude (copy) from (select *, row_number() over (partition by message_id order by received_at nulls last, raw_line_start) as copy from messages) where copy = 1)"""
@@ -51,15 +51,15 @@ def canonical_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sender_stats(spark: SparkSession, d: str) -> DataFrame:
-    return A.sender_stats(_messages(spark, d))
+    return A.sender_stats(_messages(spark, d, "sender", "message_type", "text", "source_file", "is_media", "is_system", "is_forwarded"))
 
 
 def speaker_ranking(spark: SparkSession, d: str) -> DataFrame:
-    return A.speaker_ranking(_messages(spark, d))
+    return A.speaker_ranking(_messages(spark, d, "sender", "source_file"))
 
 
 def resolved_speaker(spark: SparkSession, d: str) -> DataFrame:
-    return A.resolve_speaker(_messages(spark, d))
+    return A.resolve_speaker(_messages(spark, d, "sender", "source_file"))
 
 
 def row_issues(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +67,7 @@ def row_issues(spark: SparkSession, d: str) -> DataFrame:
 
 
 def order_issues(spark: SparkSession, d: str) -> DataFrame:
-    return A.order_issues(_messages(spark, d))
+    return A.order_issues(_messages(spark, d, "message_id", "source_file", "timestamp", "raw_line_start", "raw_line_end"))
 
 
 def issue_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -85,18 +85,18 @@ def exact_duplicates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def potential_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    return A.duplicates(_messages(spark, d), A.POTENTIAL_KEY)
+    return A.duplicates(_messages(spark, d, "message_id", *A.POTENTIAL_KEY), A.POTENTIAL_KEY)
 
 
 def type_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return _messages(spark, d).groupBy(F.coalesce("message_type", F.lit("<none>")).alias("message_type")).agg(F.count(F.lit(1)).alias("messages"), F.count_if(~F.coalesce(F.lower("message_type").isin(*A.TYPES), F.lit(False))).alias("unexpected"))
+    return _messages(spark, d, "message_type").groupBy(F.coalesce("message_type", F.lit("<none>")).alias("message_type")).agg(F.count(F.lit(1)).alias("messages"), F.count_if(~F.coalesce(F.lower("message_type").isin(*A.TYPES), F.lit(False))).alias("unexpected"))
 
 
 # ---- masking and cleaning ----------------------------------------------------------------------------------------
 
 
 def pii_mask(spark: SparkSession, d: str) -> DataFrame:
-    return masking.sanitized(_messages(spark, d).select("message_id", "text")).select("message_id", "text", "original_text_masked")
+    return masking.sanitized(_messages(spark, d, "message_id", "text")).select("message_id", "text", "original_text_masked")
 
 
 #: Texts with what must come out of them, and the categories found.
@@ -130,12 +130,12 @@ def pii_mask_cases(spark: SparkSession, d: str) -> DataFrame:
 
 
 def pii_categories(spark: SparkSession, d: str) -> DataFrame:
-    s = masking.sanitized(_messages(spark, d).select("message_id", "source_file", "text"))
+    s = masking.sanitized(_messages(spark, d, "message_id", "source_file", "text"))
     return s.select(F.explode("pii_detected").alias("category")).groupBy("category").agg(F.count(F.lit(1)).alias("messages"))
 
 
 def pii_by_source(spark: SparkSession, d: str) -> DataFrame:
-    s = masking.sanitized(_messages(spark, d).select("message_id", "source_file", "text"))
+    s = masking.sanitized(_messages(spark, d, "message_id", "source_file", "text"))
     return s.groupBy("source_file").agg(F.count(F.lit(1)).alias("messages"), F.count_if("original_text_masked").alias("masked"))
 
 
@@ -148,16 +148,16 @@ def nfc_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def analysis_text(spark: SparkSession, d: str) -> DataFrame:
-    return _messages(spark, d).select("message_id", T.analysis(T.normalize(F.col("text"))).alias("analysis_text"))
+    return _messages(spark, d, "message_id", "text").select("message_id", T.analysis(T.normalize(F.col("text"))).alias("analysis_text"))
 
 
 def token_counts(spark: SparkSession, d: str) -> DataFrame:
     t = T.tokens(T.normalize(F.col("text")))
-    return _messages(spark, d).select("message_id", F.size(t).alias("tokens"), F.size(T.shouted(t)).alias("shouted"), F.size(T.clusters(t)).alias("clusters"))
+    return _messages(spark, d, "message_id", "text").select("message_id", F.size(t).alias("tokens"), F.size(T.shouted(t)).alias("shouted"), F.size(T.clusters(t)).alias("clusters"))
 
 
 def _marks(spark: SparkSession, d: str) -> DataFrame:
-    return _messages(spark, d).where("text is not null").select("message_id", T.tokens(T.normalize(F.col("text"))).alias("t"))
+    return _messages(spark, d, "message_id", "text").where("text is not null").select("message_id", T.tokens(T.normalize(F.col("text"))).alias("t"))
 
 
 def elongation_topk(spark: SparkSession, d: str) -> DataFrame:
@@ -171,12 +171,12 @@ def caps_topk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def emoji_topk(spark: SparkSession, d: str) -> DataFrame:
-    e = _messages(spark, d).select(F.explode(T.emojis(F.col("text"))).alias("emoji")).groupBy("emoji").agg(F.count(F.lit(1)).alias("uses"))
+    e = _messages(spark, d, "text").select(F.explode(T.emojis(F.col("text"))).alias("emoji")).groupBy("emoji").agg(F.count(F.lit(1)).alias("uses"))
     return e.orderBy(F.desc("uses"), "emoji").limit(15)
 
 
 def cleaning_report(spark: SparkSession, d: str) -> DataFrame:
-    v = _messages(spark, d).where("text is not null").select(T.views(F.col("text")).alias("v"))
+    v = _messages(spark, d, "text").where("text is not null").select(T.views(F.col("text")).alias("v"))
     t = "v.tokenized_text"
     return v.agg(
         F.count(F.lit(1)).alias("messages"), F.round(F.avg(f"{t}.token_count"), 4).alias("avg_tokens"), F.round(F.avg(f"{t}.character_count"), 4).alias("avg_characters"),
@@ -187,8 +187,12 @@ def cleaning_report(spark: SparkSession, d: str) -> DataFrame:
 # ---- conversations, turns, pairs ---------------------------------------------------------------------------------
 
 
-def _sessions(spark: SparkSession, d: str) -> DataFrame:
-    return C.conversations(_messages(spark, d))
+def _sessions(spark: SparkSession, d: str, *more: str) -> DataFrame:
+    return C.conversations(_messages(spark, d, "message_id", "source_file", "timestamp", "sender", *more))
+
+
+def _turns(spark: SparkSession, d: str) -> DataFrame:
+    return C.turns(_sessions(spark, d, "text"))
 
 
 def session_headers(spark: SparkSession, d: str) -> DataFrame:
@@ -211,12 +215,12 @@ def session_initiators(spark: SparkSession, d: str) -> DataFrame:
 
 
 def turn_islands(spark: SparkSession, d: str) -> DataFrame:
-    t = C.turns(_sessions(spark, d))
+    t = _turns(spark, d)
     return t.select("conversation_id", "turn_id", "speaker", "start_timestamp", "end_timestamp", "message_count", F.array_join("message_ids", ",").alias("message_ids"), "text")
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    return C.context_pairs(C.turns(_sessions(spark, d)))
+    return C.context_pairs(_turns(spark, d))
 
 
 def context_pairs(spark: SparkSession, d: str) -> DataFrame:

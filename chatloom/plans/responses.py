@@ -74,7 +74,7 @@ def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
 
 def retrieval_gate(spark: SparkSession, d: str) -> DataFrame:
     g = F.coalesce(S.retrieval_gate(F.col("text")), F.lit("search"))
-    return A.deliver_once(table(spark, d, "messages")).groupBy(g.alias("gate")).agg(F.count(F.lit(1)).alias("messages"))
+    return A.deliver_once(table(spark, d, "messages"), "text").groupBy(g.alias("gate")).agg(F.count(F.lit(1)).alias("messages"))
 
 
 def _retrieved(spark: SparkSession, d: str) -> DataFrame:
@@ -186,7 +186,7 @@ def artifact_audit(spark: SparkSession, d: str) -> DataFrame:
 
 
 def session_windows_batch(spark: SparkSession, d: str) -> DataFrame:
-    return session_windows(A.deliver_once(table(spark, d, "messages")))
+    return session_windows(A.deliver_once(table(spark, d, "messages"), "source_file", "timestamp"))
 
 
 QUERIES = {

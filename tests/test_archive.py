@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -51,6 +52,33 @@ def test_cached_stage(spark, tmp_path):
     assert len(made) == 2
 
 
+def test_conversations_in_small_blocks(spark, monkeypatch):
+    r = random.Random(3)
+    t0 = datetime(2024, 1, 1)
+    ms = [("f", f"m{k:03d}", t0 + timedelta(minutes=3 * k), r.choice(["You", "You", "Mira", "Mira", "Oren", None]), f"t{k}") for k in range(200)] + [("f", "z", t0 + timedelta(days=2), None, "last")]
+    d = spark.createDataFrame(ms, "source_file string, message_id string, timestamp timestamp, sender string, text string")
+    sess = C.conversations(d)
+    assert [x["seq"] for x in sess.where("session_index = 1").orderBy("seq").collect()] == list(range(1, 201)) and sess.where("session_index = 1").select("bucket").distinct().count() == 3
+    turns, cur = [], None
+    for k, (_, i, _, s, t) in enumerate(ms[:200]):
+        if s is None:
+            cur = None
+            if k < 199:
+                continue
+        if cur and cur[0] == s:
+            cur[1].append(i)
+        else:
+            cur = [s, [i]]
+            turns.append(cur)
+    monkeypatch.setattr(C, "BLOCK", 7)
+    for x in (sess, sess.drop("bucket")):  # buckets of time, and blocks of seven messages
+        got = C.turns(x).where("conversation_id = 'f:c00001'").orderBy("turn_id").collect()
+        assert [(g["speaker"], g["message_ids"]) for g in got] == [(a, b) for a, b in turns] and [g["turn_id"] for g in got] == list(range(1, len(turns) + 1))
+    assert C.turns(sess).where("conversation_id = 'f:c00002'").count() == 1
+    t = C.turns(sess)
+    assert rows(C.context_pairs(t, block=5)) == rows(C.context_pairs(t, block=10_000))
+
+
 def test_masking(spark):
     t = ["see https://x.example/a?b=1.", "mail a.b@example.org now", "password is hunter2, ok", "pay me: some.one@okaxis", "card 1234 5678 9012 3456", "otp is 123456", "call +91 90000 12345", "id 12", None, "[EMAIL] already"]
     out = masking.sanitized(spark.createDataFrame([(x,) for x in t], "text string")).collect()
