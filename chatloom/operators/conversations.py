@@ -40,6 +40,11 @@ def headers(sessions: DataFrame) -> DataFrame:
     return g.withColumn("duration_seconds", s).withColumn("duration_minutes", F.round(F.col("duration_seconds") / 60, 2))
 
 
+def participants(sessions: DataFrame) -> DataFrame:
+    """conversation_id, sender, messages: how much each participant of a conversation said; null senders are left out."""
+    return sessions.where(F.col("sender").isNotNull()).groupBy("conversation_id", "sender").agg(F.count(F.lit(1)).alias("messages"))
+
+
 def bucket(c: Column, edges: list[tuple[int, str]], last: str) -> Column:
     out = None
     for top, name in edges:

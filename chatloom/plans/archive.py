@@ -199,6 +199,30 @@ def session_headers(spark: SparkSession, d: str) -> DataFrame:
     return C.headers(_sessions(spark, d))
 
 
+def participants(spark: SparkSession, d: str) -> DataFrame:
+    return C.participants(_sessions(spark, d))
+
+
+def enriched_turns(spark: SparkSession, d: str) -> DataFrame:
+    e = C.enriched(_turns(spark, d))
+    return e.select("conversation_id", "turn_id", F.md5("analysis_text").alias("digest"), F.length("analysis_text").alias("characters"))
+
+
+def missing_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Required fields that rows of the archive lack when they are written as JSON objects, with how many lack them."""
+    j = table(spark, d, "messages").select(F.to_json(F.struct(*A.REQUIRED)).alias("value"))
+    m = A.missing_fields(j).select(F.explode("missing").alias("field"))
+    return m.groupBy("field").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def preamble_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Lines before the first header of a file, where the first message of each file has lost its header."""
+    n = export_lines(_messages(spark, d, "message_id", "source_file", "timestamp", "sender", "text"))
+    first = n.where(F.col("line").rlike(exports.HEADER)).groupBy("source_file").agg(F.min("line_no").alias("first"))
+    bare = n.join(first, "source_file").withColumn("line", F.when(F.col("line_no") == F.col("first"), F.regexp_replace("line", exports.HEADER, "$3")).otherwise(F.col("line")))
+    return exports.issues(bare.drop("first")).groupBy("source_file").agg(F.count(F.lit(1)).alias("lines"))
+
+
 def session_buckets(spark: SparkSession, d: str) -> DataFrame:
     h = C.headers(_sessions(spark, d))
     return h.groupBy(C.bucket(F.col("message_count"), C.SIZES, "51+").alias("size"), C.bucket(F.col("duration_seconds"), C.DURATIONS, "2h+").alias("duration")).agg(F.count(F.lit(1)).alias("conversations"))
@@ -353,7 +377,7 @@ QUERIES = {
     for f in (
         parse_exports, type_classifier, canonical_ids, sender_stats, speaker_ranking, resolved_speaker, row_issues, order_issues, issue_counts, validation_status, exact_duplicates, potential_duplicates, type_histogram,
         pii_mask, pii_mask_cases, pii_categories, pii_by_source, normalize_text, nfc_text, analysis_text, token_counts, elongation_topk, caps_topk, emoji_topk, cleaning_report,
-        session_headers, session_buckets, session_report, session_initiators, turn_islands, context_pairs, context_depths, latency_buckets,
+        participants, enriched_turns, missing_fields, preamble_lines, session_headers, session_buckets, session_report, session_initiators, turn_islands, context_pairs, context_depths, latency_buckets,
     )
 }
 
@@ -398,6 +422,11 @@ SQL = {
     "elongation_topk": _M + f" select lower(x) as word, count(*) as uses from (select unnest({SQL_TOKENS}) as x from one) where regexp_matches(x, {_q(_LONG)}) group by 1 order by uses desc, word limit 15",
     "caps_topk": _M + f" select x as word, count(*) as uses from (select unnest({SQL_TOKENS}) as x from one) where regexp_full_match(x, '[A-Z]{{2,}}') group by 1 order by uses desc, word limit 15",
     "emoji_topk": _M + f" select emoji, count(*) as uses from (select unnest(regexp_extract_all(text, {_q(_EMOJI)})) as emoji from one) group by 1 order by uses desc, emoji limit 15",
+    "participants": SEQ + " select conversation_id, sender, count(*) as messages from conv where sender is not null group by 1, 2",
+    "enriched_turns": TURNS + f" select conversation_id, turn_id, md5({sql_analysis(sql_normalize('text'))}) as digest, length({sql_analysis(sql_normalize('text'))}) as characters from turn",
+    "missing_fields": "select field, rows from (" + " union all ".join(f"select '{c}' as field, count(*) as rows from messages where {c} is null" for c in A.REQUIRED) + ") where rows > 0",
+    "preamble_lines": _M + """, x as (select *, row_number() over (partition by source_file order by split_part(message_id, ':', -1)::bigint) as r, coalesce(sender || ': ', '') || text as body from one where timestamp is not null and text is not null and source_file is not null)
+        select source_file, len(list_filter(string_split(body, chr(10)), lambda y: regexp_replace(y, '\\s', '', 'g') <> '')) as lines from x where r = 1 and len(list_filter(string_split(body, chr(10)), lambda y: regexp_replace(y, '\\s', '', 'g') <> '')) > 0""",
     "session_headers": SEQ + " select * from header",
     "session_buckets": SEQ + f" select {_bucket_sql('message_count', C.SIZES, '51+')} as size, {_bucket_sql('duration_seconds', C.DURATIONS, '2h+')} as duration, count(*) as conversations from header group by all",
     "session_report": SEQ + " select count(*) as conversations, sum(message_count)::bigint as messages, round(avg(message_count), 4) as mean_size, median(message_count) as median_size, round(avg(duration_seconds), 4) as mean_duration, median(duration_seconds) as median_duration from header",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
@@ -53,6 +53,13 @@ def split_crosstab(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("split").pivot("length_bin", ["short", "medium", "long"]).agg(F.count(F.lit(1))).na.fill(0)
 
 
+def split_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of each source by split, with their share of the split."""
+    p = _pairs(spark, d)
+    g = D.split_pairs(p, D.conversation_split(p)).groupBy("split", F.coalesce("source_file", F.lit("<none>")).alias("source_file")).agg(F.count(F.lit(1)).alias("pairs"))
+    return g.withColumn("share", F.round(F.col("pairs") / F.sum("pairs").over(Window.partitionBy("split")), 4))  # one row per source
+
+
 def split_leakage(spark: SparkSession, d: str) -> DataFrame:
     p = _pairs(spark, d)
     return D.leakage(D.split_pairs(p, D.conversation_split(p)))
@@ -271,7 +278,7 @@ def _terms(text: str, shortest: int, rare: int) -> str:
 QUERIES = {
     f.__name__: f
     for f in (
-        drop_reasons, quality_filter, length_bins, stratified_sample, sample_report, conversation_split, split_crosstab, split_leakage, holdout, holdout_bins,
+        drop_reasons, quality_filter, length_bins, stratified_sample, sample_report, conversation_split, split_crosstab, split_sources, split_leakage, holdout, holdout_bins,
         cosine_topk, cosine_topk_each, vector_norms, diversity_index, pair_similarity, gram_matrix, alignment_classes, hybrid_vectors, model_gap, embedding_offline,
         centroids, medoids, calinski_harabasz, cluster_profile, cluster_sources, cluster_emoji, ctfidf_terms, topic_terms, topic_labels, style_topic_matrix, sender_stopwords, kmeans_sweep, topic_sweep, best_cluster_k, best_topic_k, kmeans_clusters, agglomerative,
     )
@@ -285,6 +292,7 @@ SQL = {
     "sample_report": f"with {S} select source_file, count(*) as before, (select count(*) from sample s where s.source_file = q.source_file) as after from q group by source_file",
     "conversation_split": f"with {SPLIT} select * from m",
     "split_crosstab": f"with {SPLIT}, x as (select split, {_BIN(sql_word_count('target_text'))} as length_bin from a) select split, count(*) filter (length_bin = 'short') as short, count(*) filter (length_bin = 'medium') as medium, count(*) filter (length_bin = 'long') as long from x group by split",
+    "split_sources": f"with {SPLIT} select split, coalesce(source_file, '<none>') as source_file, count(*) as pairs, round(count(*) / sum(count(*)) over (partition by split), 4) as share from a group by 1, 2",
     "split_leakage": f"with {SPLIT} select conversation_id, count(distinct split) as splits from a where conversation_id is not null group by 1 having count(distinct split) > 1",
     "holdout": f"with {P} select pair_id, source_file, conversation_id from p order by {_DRAW}, pair_id limit 60",
     "holdout_bins": f"with {W} select pair_id, source_file, conversation_id, length_bin from b qualify row_number() over (partition by length_bin order by {_DRAW}, pair_id) <= 20",

@@ -14,7 +14,10 @@ from chatloom.plans.archive import _EMOJI, _q, sql_word_count
 from chatloom.sources.tables import table
 
 def _features(spark: SparkSession, d: str) -> DataFrame:
-    return P.turn_features(table(spark, d, "context_pairs").distinct().withColumn("label", F.coalesce(F.element_at(F.split("source_file", "_"), 1), F.lit("none"))))
+    """Features of all turns, labelled by the style cluster of their pair."""
+    style = table(spark, d, "cluster_assignments").where("pair_id is not null").groupBy("pair_id").agg(F.min("cluster_id").alias("style"))
+    p = table(spark, d, "context_pairs").distinct().join(style, "pair_id", "left")
+    return P.turn_features(p.withColumn("label", F.coalesce(F.concat(F.lit("style_"), "style"), F.lit("none"))).drop("style"))
 
 
 def turn_features(spark: SparkSession, d: str) -> DataFrame:
@@ -33,6 +36,22 @@ def syntax_profile(spark: SparkSession, d: str) -> DataFrame:
     return P.ratios(_features(spark, d), "label", P.SYNTAX)
 
 
+def densities(spark: SparkSession, d: str) -> DataFrame:
+    return P.densities(_features(spark, d), "label")
+
+
+def enclitics_by_style(spark: SparkSession, d: str) -> DataFrame:
+    return P.words_by_label(_features(spark, d), "label", DEFAULT.enclitic, 5)
+
+
+def situations_by_style(spark: SparkSession, d: str) -> DataFrame:
+    return P.shares(_features(spark, d), "label", "situation")
+
+
+def acts_by_style(spark: SparkSession, d: str) -> DataFrame:
+    return P.shares(_features(spark, d), "label", "primary_act")
+
+
 def word_distribution(spark: SparkSession, d: str) -> DataFrame:
     return P.distribution(_features(spark, d), "label", "word_count")
 
@@ -123,7 +142,7 @@ def behavior_exemplars(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        turn_features, surface_profile, syntax_profile, word_distribution, burst_distribution, burst_ratios, lexical_diversity, clause_types, language_shares, switch_points, borrowed_words, enclitic_topk,
+        turn_features, surface_profile, syntax_profile, densities, enclitics_by_style, situations_by_style, acts_by_style, word_distribution, burst_distribution, burst_ratios, lexical_diversity, clause_types, language_shares, switch_points, borrowed_words, enclitic_topk,
         abbreviation_topk, discourse_acts, act_cooccurrence, act_transitions, act_markers, situation_cues, situation_cues_all, situations, behavior_dimensions, behavior_exemplars,
     )
 }
@@ -173,12 +192,12 @@ _ELONG = "(" + "|".join(f"{x}{{3,}}|{x.upper()}{{3,}}" for x in "abcdefghijklmno
 _STRIP = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
 _SIT = f"""[case when len(w) = 1 and list_contains({_l(L.acknowledgement)}, w[1]) and {sql_word_count('t')} <= 3 then 3.0::double else 0.0::double end, {_n(L.technical, 'b')} * 1.2::double, {_n(L.career, 'b')} * 1.2::double, {_n(L.conflict)} * 1.0::double, {_n(L.probing, 'b')} * 0.8::double, len(regexp_extract_all(t, '[{L.humor_emoji}]')) * 0.8::double + 0.2::double]"""
 
-F0 = f"""with f0 as (select *, coalesce(split_part(source_file, '_', 1), 'none') as label, {_STRIP.format("coalesce(target_text, '')")} as t, regexp_extract_all(lower(coalesce(target_text, '')), {_q(T.WORD)}) as w,
-  regexp_extract_all(lower(concat_ws(' ', context_text, target_text)), {_q(T.WORD)}) as b, regexp_replace(coalesce(context_text, ''), '^[^:\\n]{{1,30}}:\\s*', '') as c from (select distinct * from context_pairs)),
+F0 = f"""with f0 as (select *, coalesce('style_' || (select min(cluster_id) from cluster_assignments ca where ca.pair_id = src.pair_id), 'none') as label, {_STRIP.format("coalesce(target_text, '')")} as t, regexp_extract_all(lower(coalesce(target_text, '')), {_q(T.WORD)}) as w,
+  regexp_extract_all(lower(concat_ws(' ', context_text, target_text)), {_q(T.WORD)}) as b, regexp_replace(coalesce(context_text, ''), '^[^:\\n]{{1,30}}:\\s*', '') as c from (select distinct * from context_pairs) src),
 f1 as (select *, {_TAG} as raw, regexp_extract_all(t, {_q(_EMOJI)}) as e, {_acts('w', "coalesce(target_text, '')")} as acts, {_SIT} as sr, regexp_extract_all(lower(c), {_q(T.WORD)}) as cw from f0),
 f2 as (select *, {_SETTLED} as tags, list_transform(sr, lambda x: round(x / list_sum(sr), 4)) as ss from f1),
 f3 as (select *, list_filter(tags, lambda x: x <> 'UNIV') as content from f2),
-f4 as (select pair_id, source_file, conversation_id, label, target_text, message_count, w as words, tags, acts, length(t) as characters, {sql_word_count('t')} as word_count, {_LET} > 0 and t = lower(t) as all_lower, {_LET} > 1 and t = upper(t) and t <> lower(t) as all_upper, regexp_matches(t, '^\\p{{Lu}}') as initial_cap,
+f4 as (select pair_id, source_file, conversation_id, label, target_text, message_count, w as words, tags, acts, length(t) as characters, {sql_word_count('t')} as word_count, {_LET} > 0 and t = lower(t) as all_lower, {_LET} > 1 and t = upper(t) and t <> lower(t) as all_upper, {_LET} > 0 and t <> lower(t) and not ({_LET} > 1 and t = upper(t) and t <> lower(t)) as mixed_case, length(regexp_replace(t, '[^.,!?;:]', '', 'g')) as marks, regexp_matches(t, '^\\p{{Lu}}') as initial_cap,
   regexp_matches(t, '[.?!]$') as terminal_mark, contains(t, '?') as has_question, contains(t, '??') as many_questions, contains(t, '!') as has_exclamation, contains(t, '!!') as many_exclamations, contains(t, '..') as has_ellipsis,
   len(e) as emoji_count, len(e) > 0 as has_emoji, len(e) > 0 and not regexp_matches(t, '[\\p{{L}}\\p{{N}}]') as emoji_only, len(e) > len(list_distinct(e)) as emoji_burst, regexp_matches(t, '{_ELONG}') as has_elongation, {_any(L.abbreviation)} as has_abbreviation,
   contains(coalesce(target_text, ''), '?') or {_any(L.interrogative)} as is_question, {_any(L.negation)} as has_negation, {_n(L.negation)} as negations, {_any(L.conditional)} or ({_any(L.when)} and {_any(L.then)}) as has_conditional,
@@ -190,7 +209,7 @@ f4 as (select pair_id, source_file, conversation_id, label, target_text, message
   case when len(content) = 0 then 'neutral' when not list_contains(content, 'HIN') then 'pure_english' when not list_contains(content, 'ENG') then 'pure_hindi' else 'code_switched' end as language,
   {_primary('acts', 't')} as primary_act, case when {_STRIP.format('c')} <> '' then {_primary(_acts('cw', 'c'), _STRIP.format('c'))} end as context_act,
   [{', '.join(_q(s) for s in SITUATIONS)}][list_position(ss, list_max(ss))] as situation, {_n(L.technical)} as tech from f3),
-f as (select *, case when word_count <= 3 then 1.0 when word_count <= 7 then 0.5 else 0.0 end::double as directness, least(1.0, word_count / 30.0)::double as verbosity, list_contains(acts, 'hedge')::int::double as hedging, list_contains(acts, 'disagree')::int::double as disagreement,
+f as (select *, not is_question and not is_imperative as is_declarative, enclitics > 0 as has_enclitic, case when word_count <= 3 then 1.0 when word_count <= 7 then 0.5 else 0.0 end::double as directness, least(1.0, word_count / 30.0)::double as verbosity, list_contains(acts, 'hedge')::int::double as hedging, list_contains(acts, 'disagree')::int::double as disagreement,
   list_contains(acts, 'humor')::int::double as humor, list_contains(acts, 'question')::int::double as question_initiative, (primary_act in ('informative', 'explain', 'advice') and not list_contains(acts, 'hedge'))::int::double as confidence,
   (has_emoji::int * 0.5 + list_contains(acts, 'emphasis')::int * 0.3 + (all_upper and word_count > 1)::int * 0.2)::double as expressiveness, case when language = 'code_switched' then least(1.0, switches / 4.0) else 0.0 end::double as switching, least(1.0, tech / 3.0)::double as technical from f4)"""
 
@@ -210,6 +229,10 @@ SQL = {
         array_to_string(acts, ',') as acts, primary_act, context_act, situation, {', '.join(f'round({x}, 6) as {x}' for x in P.DIMENSIONS)} from f""",
     "surface_profile": F0 + f" select label, count(*) as turns, {', '.join(f'round(avg({x}::int), 4) as {x}' for x in P.SURFACE)} from f group by grouping sets ((), (label))",
     "syntax_profile": F0 + f" select label, count(*) as turns, {', '.join(f'round(avg({x}::int), 4) as {x}' for x in P.SYNTAX)} from f group by grouping sets ((), (label))",
+    "densities": F0 + " select label, sum(word_count)::bigint as all_words, " + ", ".join(f"round(100 * sum({c}) / sum(word_count), 4) as {c}_per_100" for c in ("marks", "emoji_count", "enclitics", "switches")) + ", " + ", ".join(f"round(sum({c}) / sum(eng_words + hin_words), 4) as {c}_share" for c in ("eng_words", "hin_words")) + " from f group by grouping sets ((), (label))",
+    "enclitics_by_style": F0 + f" select label, term, count(*) as uses, row_number() over (partition by label order by count(*) desc, term) as rank from (select label, unnest(words) as term from f) where list_contains({_l(L.enclitic)}, term) group by 1, 2 qualify rank <= 5",
+    "situations_by_style": F0 + " select label, situation, count(*) as turns, round(count(*) / sum(count(*)) over (partition by label), 4) as share from f group by 1, 2",
+    "acts_by_style": F0 + " select label, primary_act, count(*) as turns, round(count(*) / sum(count(*)) over (partition by label), 4) as share from f group by 1, 2",
     "word_distribution": F0 + " " + _DIST.format("word_count"),
     "burst_distribution": F0 + " " + _DIST.format("message_count"),
     "burst_ratios": "with p as (select distinct * from context_pairs) select count(*) as turns, round(avg((message_count = 1)::int), 4) as single, round(avg((message_count = 2)::int), 4) as double, round(avg((message_count >= 3)::int), 4) as burst, max(message_count) as most from p",

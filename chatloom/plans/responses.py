@@ -251,7 +251,7 @@ EV = CAND + f""", x0 as (select *, {_ST("coalesce(candidate, '')")} as c, {_ST("
  ev as (select *, jaccard as embedding, round(greatest(0.0, least(1.0, punctuation * 0.2::double + casing * 0.15::double + length * 0.15::double + jaccard * 0.15::double + vocabulary * 0.1::double + jaccard * 0.25::double)), 6) as composite,
   round((voice_authenticity + stylistic_adherence + behavioral_consistency + situational_appropriateness + epistemic_grounding) / 5, 2) as judged from x3)"""
 _TARGETS = lambda c: f"coalesce({c}, '')"
-BEH = CAND + f""", k0 as (select *, row_number() over () as k from cand), rows2 as (select 'c' as source_file, k as pair_id, strategy as conversation_id, candidate as target_text, context as context_text, 1 as message_count from k0 union all select 't', k, strategy, target, context, 1 from k0), """ + F0.removeprefix("with ").replace("(select distinct * from context_pairs)", "rows2") + f""",
+BEH = CAND + f""", k0 as (select *, row_number() over () as k from cand), rows2 as (select 'c' as source_file, k as pair_id, strategy as conversation_id, candidate as target_text, context as context_text, 1 as message_count from k0 union all select 't', k, strategy, target, context, 1 from k0), """ + F0.removeprefix("with ").replace("(select distinct * from context_pairs) src", "rows2 src").replace("ca.pair_id = src.pair_id", "false") + f""",
  b0 as (select *, hedging > 0 or {_PH(_TARGETS('target_text'), E.HEDGES)} as hedge from f),
  b1 as (select pair_id as k, source_file as side, conversation_id as strategy, word_count > 0 as spoke, directness, verbosity, hedge::int::double as hedging, (primary_act in ('informative', 'explain', 'advice') and not hedge)::int::double as confidence, disagreement, humor, (question_initiative > 0 or contains(coalesce(target_text, ''), '?'))::int::double as question,
   {_PH(_TARGETS('target_text'), E.FORMAL)}::int::double as formality, (language = 'code_switched')::int::double as code_switching, list_has_any(words, [{', '.join(map(_q, (*E.TECHNICAL, *DEFAULT.technical)))}])::int::double as technical_depth from b0),

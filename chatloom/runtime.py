@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,13 +33,20 @@ def local_session(app: str = "chatloom", cpus: int | None = None, **conf: str) -
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or one of our own where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir; on a local master, where it may be unset, one of our own.
+
+    A cluster without that setting is refused, since each executor would write to a disk of its own.
+    """
     sc = spark.sparkContext
     given = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not given:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         chosen = getattr(sc, "_chatloom_dir", None)
         if chosen is None:
-            chosen = "file://" + tempfile.mkdtemp(prefix="chatloom-")
+            folder = tempfile.mkdtemp(prefix="chatloom-")
+            atexit.register(shutil.rmtree, folder, ignore_errors=True)
+            chosen = "file://" + folder
             sc._chatloom_dir = chosen
         given = chosen
     if sc._jsc.sc().getCheckpointDir().isEmpty():
@@ -53,6 +64,15 @@ def clear_scratch(spark: SparkSession) -> None:
     drop_path(spark, f"{shared_dir(spark)}/chatloom/{spark.sparkContext.applicationId}")
 
 
+@contextmanager
+def scratch_cleared(spark: SparkSession) -> Iterator[None]:
+    """Around work whose results are saved inside: what it has written to the shared folder is deleted at the end."""
+    try:
+        yield
+    finally:
+        clear_scratch(spark)
+
+
 def persisted(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: cuts lineage and survives lost executors."""
     path = scratch(df.sparkSession, name)
