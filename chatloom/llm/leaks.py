@@ -11,7 +11,6 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
-from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -26,8 +25,6 @@ from chatloom.llm.runs import osa
 from chatloom.llm.textform import SCRIPTS, readable, with_offsets
 
 GRAM = 4  # words in a phrase
-REACH = 30  # words between two hits of a chain
-DRIFT = 6  # words by which the diagonal may move between two hits
 LEAST = 36  # successive words of an item that make a leak
 BAND = 16  # width of a band of diagonals; bands overlap by half
 COVER, SPAN = 14, 20  # item words in phrases found near each other in one band, and words from the first to the last of them, in a leak of the least length
@@ -112,7 +109,7 @@ class Items:
         self.sole = np.array([bool(x) for x in self.whole], bool)
         at = np.array([x for v in where.values() for x in v], "int64").reshape(-1, 2)
         self.first = np.concatenate([[0], np.cumsum([len(v) for v in where.values()], dtype="int64")]).astype("int64")
-        self.item, self.at = at[:, 0].copy(), at[:, 1].copy()
+        self.item, self.at = at[:, 0].astype("int32"), at[:, 1].astype("int32")
         if len(a):
             a.make_automaton()
         return a
@@ -163,17 +160,6 @@ def grow(doc: list[str], item: list[str], d: int, q: int, step: int) -> tuple[in
 _SHIFTS = sorted(((s, t) for s in range(6) for t in range(6) if s or t), key=lambda x: (max(x), x[0] + x[1]))
 
 
-def _goes_on(at_word: dict[int, list[int]], d: int, q: int) -> bool:
-    """Whether another hit lies within reach after this one, near its diagonal; at_word has item positions, in order, by document word."""
-    for n in range(1, REACH + 1):
-        qs = at_word.get(d + n)
-        if qs:
-            k = bisect_left(qs, q + n - DRIFT)
-            if k < len(qs) and qs[k] <= q + n + DRIFT:
-                return True
-    return False
-
-
 def _counts(keys: np.ndarray) -> np.ndarray:
     """How often each key occurs, or a little more."""
     bits = max(10, int(len(keys)).bit_length() + 1)
@@ -186,7 +172,7 @@ def _promising(doc: np.ndarray, d: np.ndarray, item: np.ndarray, q: np.ndarray,
     """Which hits (document, word, item, place) lie in a band of diagonals that has what a leak cannot do without."""
     keep = np.zeros(len(doc), bool)
     doc = doc - doc.min()
-    pair = doc * len(items.words) + item
+    pair = doc.astype("int64") * len(items.words) + item
     # so many hits cover at most GRAM words each; counted by hash, where a clash can only keep more
     many = _counts(pair)
     some = np.flatnonzero(many * GRAM >= items.cover[item])
@@ -251,7 +237,7 @@ def _leaks_of(docs: list[list[str]], part: range, items: Items, machine: ahocora
     if len(p):
         n = items.first[p + 1] - items.first[p]
         at = np.repeat(items.first[p] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
-        hits = np.repeat(row, n), np.repeat(word, n), items.item[at], items.at[at]
+        hits = np.repeat(row.astype("int32"), n), np.repeat(word.astype("int32"), n), items.item[at], items.at[at]
         good = _promising(*hits, items)
         pairs: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
         for r, d, i, q in zip(*(x[good].tolist() for x in hits)):
@@ -267,12 +253,9 @@ def _leaks_of(docs: list[list[str]], part: range, items: Items, machine: ahocora
 
 def _longest(doc: list[str], items: Items, i: int, hits: list[tuple[int, int]]) -> tuple[int, int, int]:
     """(printed item words covered, first and last document word) of the longest passage grown from hits (word, place)."""
-    at_word: dict[int, list[int]] = defaultdict(list)
-    for d, q in hits:
-        at_word[d].append(q)
     w, place, best, done = items.words[i], items.place[i], (0, 0, 0), []
     for d, q in hits:
-        if any(d0 <= d <= d1 and q0 <= q <= q1 for d0, d1, q0, q1 in done) or (len(hits) > 1 and not _goes_on(at_word, d, q)):
+        if any(d0 <= d <= d1 and q0 <= q <= q1 for d0, d1, q0, q1 in done):
             continue
         rd, rq, rf = grow(doc, w, d, q, 1)
         ld, lq, lf = grow(doc, w, d - 1, q - 1, -1)
@@ -286,6 +269,13 @@ def _longest(doc: list[str], items: Items, i: int, hits: list[tuple[int, int]])
     return best
 
 
+@functools.lru_cache(maxsize=2)
+def _built(rows: tuple) -> tuple[Items, ahocorasick.Automaton]:
+    """Items and their automaton, once per process."""
+    items = Items(list(rows))
+    return items, items.automaton()
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """key, item key, words, start, end: each document with the items leaked into it, the longest passage of each.
 
@@ -299,13 +289,12 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     size = given.agg(F.sum(F.length(item_text))).first()[0] or 0
     if size > ITEM_CHARS:
         raise ValueError(f"{size} characters of items; give parts of at most {ITEM_CHARS}")
-    sent = spark.sparkContext.broadcast(sorted((r[0], r[1]) for r in given.toLocalIterator()))
+    sent = spark.sparkContext.broadcast(tuple(sorted((r[0], r[1]) for r in given.toLocalIterator())))
     kind, item_kind = dict(docs.dtypes)[key], dict(items.dtypes)[item_key]
     schema = f"`{key}` {kind}, `{item_key}` {item_kind}, words int, start int, end int"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        its = Items(sent.value)
-        machine = its.automaton()
+        its, machine = _built(sent.value)
         for pdf in batches:
             got = []
             if len(machine):
