@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -142,22 +144,39 @@ def style_index(examples: DataFrame, pairs: DataFrame, dim: int = 64) -> DataFra
     return e.withColumn("v", F.coalesce("v", F.array_repeat(F.lit(dim**-0.5), dim)))
 
 
-def search(index: DataFrame, query: list[float], k: int = 5, least: float = 0.2, lam: float = 0.7, category: int | None = None, length_bin: str | None = None, key: str = "pair_id") -> DataFrame:
+MODES = ("context", "response", "hybrid")
+
+
+def search(
+    index: DataFrame, query: list[float], k: int = 5, least: float = 0.2, lam: float = 0.7, category: int | None = None, length_bin: str | None = None, key: str = "pair_id",
+    mode: str = "response", alpha: float = 0.6, most: float = 0.9, context: str = "context_v", response: str = "v",
+) -> DataFrame:
     """key, similarity, rank: examples near to one query, chosen for nearness and diversity from all that reach the threshold.
 
-    A filter that leaves nothing is dropped, and so is the threshold where nothing reaches it.
+    mode says which vectors are compared: those of contexts, of responses, or alpha parts of the former and the rest of
+    the latter. Near copies, of more than `most` similarity to a chosen one, come last; a `most` above 1 turns that off.
+    A filter that leaves nothing is dropped, and so is the threshold where nothing reaches it. An empty
+    index or a query without length finds nothing.
     """
-    rows = index
-    for c, v in (("cluster_id", category), ("length_bin", length_bin)):
-        if v is not None:
-            kept = rows.where(F.col(c) == v)
-            rows = kept if kept.limit(1).count() else rows
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {MODES}")
+    schema = f"`{key}` {dict(index.dtypes)[key]}, similarity double, rank int"
+    if not any(query):
+        return index.sparkSession.createDataFrame([], schema)
+    v = {"context": F.col(context) if context in index.columns else None, "response": F.col(response), "hybrid": V.hybrid(F.col(context), F.col(response), alpha) if context in index.columns else None}[mode]
+    if v is None:
+        raise ValueError(f"the index has no {context}")
+    rows = index.withColumn("v", v)
+    kept = [F.col(c) == x for c, x in (("cluster_id", category), ("length_bin", length_bin)) if x is not None]
+    if kept:
+        some = rows.where(reduce(Column.__and__, kept))
+        rows = some if some.limit(1).count() else rows
     q = F.array(*[F.lit(float(x)) for x in query])
     near = rows.select(key, "v", V.cosine(F.col("v"), q).alias("similarity"), F.lit(k).alias("k"), F.lit(0).alias("__all"))
     good = near.where(F.col("similarity") >= least)
     near = good if good.limit(1).count() else near.orderBy(F.desc("similarity"), key).limit(k)
-    found = greedy_mmr(near, ["__all"], key, "similarity", lam)
-    return index.sparkSession.createDataFrame([(i, round(s, 6), r) for _, i, r, s in found], f"`{key}` {dict(index.dtypes)[key]}, similarity double, rank int")
+    found = greedy_mmr(near, ["__all"], key, "similarity", lam, most)
+    return index.sparkSession.createDataFrame([(i, round(s, 6), r) for _, i, r, s in found], schema)
 
 
 def retrieval_gate(message: Column, trivial: tuple[str, ...] = ("hi", "hello", "hey", "ok", "okk", "hmm", "haha", "lol", "gm", "gn")) -> Column:

@@ -33,13 +33,13 @@ def length_bins(spark: SparkSession, d: str) -> DataFrame:
 
 
 def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
-    return D.stratified_sample(_pairs(spark, d).where("source_file is not null"), 40).select("pair_id", "source_file", "conversation_id", "is_initiation", "length_bin", "word_count")
+    return D.stratified_sample(_pairs(spark, d).where("source_file is not null")).select("pair_id", "source_file", "conversation_id", "is_initiation", "length_bin", "word_count")
 
 
 def sample_report(spark: SparkSession, d: str) -> DataFrame:
     p = _pairs(spark, d).where("source_file is not null")
     before = p.groupBy("source_file").agg(F.count(F.lit(1)).alias("before"))
-    after = D.stratified_sample(p, 40).groupBy("source_file").agg(F.count(F.lit(1)).alias("after"))
+    after = D.stratified_sample(p).groupBy("source_file").agg(F.count(F.lit(1)).alias("after"))
     return before.join(after, "source_file", "full").select("source_file", F.coalesce("before", F.lit(0)).alias("before"), F.coalesce("after", F.lit(0)).alias("after"))
 
 
@@ -250,7 +250,7 @@ S = W + f""", q as (select *, count(*) over (partition by source_file) as n, cou
   row_number() over (partition by source_file, is_initiation, length_bin order by {_DRAW}, pair_id) as r from b where source_file is not null),
  f as (select source_file, length_bin, row_number() over (partition by source_file order by case length_bin when 'short' then 1 when 'medium' then 2 else 3 end) - 1 as place, count(*) over (partition by source_file) as bins
   from (select distinct source_file, length_bin from q where not is_initiation)),
- sample as (select q.* from q left join f using (source_file, length_bin) where n <= 40 or is_initiation or r <= greatest(0, 40 - init) // bins + case when place < greatest(0, 40 - init) % bins then 1 else 0 end)"""
+ sample as (select q.* from q left join f using (source_file, length_bin) where n <= 500 or is_initiation or r <= greatest(0, 500 - init) // bins + case when place < greatest(0, 500 - init) % bins then 1 else 0 end)"""
 SPLIT = P + """, c as (select distinct conversation_id, source_file from p where conversation_id is not null and source_file is not null),
  cn as (select *, count(*) over (partition by source_file) as n, row_number() over (partition by source_file order by md5(concat_ws('|', '42', conversation_id)), conversation_id) as r from c),
  ct as (select *, greatest(1, round_even(n * 0.15, 0))::int as t from cn),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +74,28 @@ def hybrid_search(spark: SparkSession, d: str) -> DataFrame:
     return S.search(i, i.orderBy("pair_id").first()["v"], 5)
 
 
+def search_modes(spark: SparkSession, d: str) -> DataFrame:
+    """One query looked up by context, by response and by both, whole and within a category and a length."""
+    i = _index(spark, d)
+    said = _pairs(spark, d).groupBy("pair_id").agg(F.min("context_text").alias("context_text"))
+    e = V.encoded(said, V.hashed_words(), "context_text").select("pair_id", F.col("v").alias("context_v"))
+    i = persisted(i.join(e, "pair_id"), "index")
+    q = i.orderBy("pair_id").first()
+    asked = [(m, c, b) for m in S.MODES for c, b in ((None, None), (q["cluster_id"], None), (None, q["length_bin"]), (-1, "short"))]
+    found = [S.search(i, q["v" if m == "response" else "context_v"], 3, category=c, length_bin=b, mode=m).select(F.lit(m).alias("mode"), F.lit(c).cast("int").alias("category"), F.lit(b).cast("string").alias("length"), "pair_id", "similarity", "rank") for m, c, b in asked]
+    return reduce(DataFrame.unionByName, found)
+
+
+def prompts(spark: SparkSession, d: str) -> DataFrame:
+    """The prompt for the first few messages that pass the gate, each with its examples."""
+    i = _index(spark, d)
+    said = _pairs(spark, d).groupBy("pair_id").agg(F.min("context_text").alias("context_text"))
+    i = persisted(i.join(said, "pair_id"), "index")
+    asked = i.orderBy("pair_id").limit(3).collect()
+    rows = [(q["pair_id"], S.few_shot_prompt(S.search(i, q["v"], 3).join(i.select("pair_id", "target_text", "context_text"), "pair_id"), q["context_text"])) for q in asked]
+    return spark.createDataFrame(rows, "pair_id string, prompt string").select("pair_id", F.length("prompt").alias("characters"), F.sha2("prompt", 256).alias("sha256"))
+
+
 def retrieval_gate(spark: SparkSession, d: str) -> DataFrame:
     g = F.coalesce(S.retrieval_gate(F.col("text")), F.lit("search"))
     return A.deliver_once(table(spark, d, "messages"), "text").groupBy(g.alias("gate")).agg(F.count(F.lit(1)).alias("messages"))
@@ -192,7 +216,7 @@ def session_windows_batch(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        style_tags, exemplar_candidates, anonymized_contexts, anonymized_ids, mmr_exemplars, exemplar_diversity, hybrid_search, retrieval_gate, retrieved_examples, pair_metrics, judge_scores, judge_prompts, judge_replies, failure_tags, failure_examples,
+        style_tags, exemplar_candidates, anonymized_contexts, anonymized_ids, mmr_exemplars, exemplar_diversity, hybrid_search, search_modes, prompts, retrieval_gate, retrieved_examples, pair_metrics, judge_scores, judge_prompts, judge_replies, failure_tags, failure_examples,
         strategy_summary, behaviour_gap, global_style, situational_style, evidence, package_artifacts, privacy_audit, artifact_audit, session_windows_batch,
     )
 }

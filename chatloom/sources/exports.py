@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chatloom.functions.text import nfc, strip
+from chatloom.runtime import persisted
 
 # The header of a message, media marks, notices, formats of dates and times in the order they are tried.
 HEADER = r"^\[(\d{1,4}[/-]\d{1,2}[/-]\d{1,4}),\s+(\d{1,2}:\d{2}(?::\d{2})?(?:\s*[APap][Mm])?)\]\s*(.*)$"
@@ -31,6 +32,28 @@ def lines(files: DataFrame) -> DataFrame:
     return files.select("source_file", F.posexplode(parts).alias("p", "line")).select("source_file", (F.col("p") + 1).alias("line_no"), "line")
 
 
+def read_lines(spark: SparkSession, path: str, pattern: str = "*.txt", recursive: bool = False) -> DataFrame:
+    """source_file, line_no from 1, line of all files of a folder, or of one file, however large: files are split.
+
+    Lines are numbered within each split of a file, and one row per split carries the number on. A missing path fails.
+    """
+    r = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).text(path)
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    d = r.select(F.url_decode(name).alias("source_file"), F.col("_metadata.file_path").alias("__f"), F.col("_metadata.file_block_start").alias("__b"), F.monotonically_increasing_id().alias("__i"), F.split("value", LINE_END).alias("parts"))
+    d = persisted(d, "export-lines")  # numbers depend on how the files were read, so they are read once
+    w = Window.partitionBy("__f").orderBy("__b")
+    before = d.groupBy("__f", "__b").agg(F.sum(F.size("parts")).alias("n")).select("__f", "__b", (F.sum("n").over(w) - F.col("n")).alias("__before"))
+    own = F.sum(F.size("parts")).over(Window.partitionBy("__f", "__b").orderBy("__i")) - F.size("parts")
+    d = d.withColumn("__own", own).join(before, ["__f", "__b"])
+    return d.select("source_file", (F.col("__before") + F.col("__own")).alias("__n"), F.posexplode("parts").alias("p", "line")).select("source_file", (F.col("__n") + F.col("p") + 1).cast("int").alias("line_no"), "line")
+
+
+def read_messages(spark: SparkSession, path: str, pattern: str = "*.txt", recursive: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(messages, issues) of the exports at a path: the scan, the framing and the lines that belong to no message."""
+    n = read_lines(spark, path, pattern, recursive)
+    return parse(n), issues(n)
+
+
 def timestamps(date: F.Column, time: F.Column) -> F.Column:
     """The first format that fits, month first."""
     both = F.concat_ws(" ", date, F.upper(F.regexp_replace(time, r"\s+", " ")))
@@ -106,7 +129,7 @@ def canonical(parsed: DataFrame, block: int = 100_000) -> DataFrame:
 
 def tolerant_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows of a JSON-lines file with their number; a line that is no object of the schema keeps its text in `malformed`."""
-    text = lines(read_exports(spark, path, "*"))
+    text = read_lines(spark, path, "*")
     d = text.where(strip(F.col("line")) != "").withColumn("row", F.from_json("line", schema + ", __bad string", {"columnNameOfCorruptRecord": "__bad"}))
     return d.select("source_file", "line_no", F.when(F.col("row").isNull() | F.col("row.__bad").isNotNull(), F.col("line")).alias("malformed"), F.col("row").dropFields("__bad").alias("row"))
 
@@ -125,6 +148,26 @@ def nested_results(messages: DataFrame, problem_lines: DataFrame) -> DataFrame:
     return m.join(i, "source_file", "full")
 
 
+def write_vectors(vectors: DataFrame, path: str, model: str, key: str = "pair_id", v: str = "v") -> dict:
+    """Vectors as Parquet with a record of their model, number and length beside them; all must have one length."""
+    vectors.select(F.col(key).alias("id"), F.col(v).cast("array<float>").alias("vector")).write.mode("overwrite").parquet(f"{path}/vectors")
+    r = vectors.sparkSession.read.parquet(f"{path}/vectors").agg(F.count(F.lit(1)).alias("n"), F.min(F.size("vector")).alias("lo"), F.max(F.size("vector")).alias("hi")).first()
+    if r["lo"] != r["hi"]:
+        raise ValueError(f"vectors of {r['lo']} to {r['hi']} numbers")
+    meta = {"model": model, "vectors": r["n"], "dimension": r["hi"] or 0}
+    vectors.sparkSession.createDataFrame([tuple(meta.values())], "model string, vectors long, dimension int").coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
+    return meta
+
+
+def read_vectors(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
+    """(id, vector) and the record beside them; a table that does not have what the record says fails."""
+    meta = spark.read.schema("model string, vectors long, dimension int").json(f"{path}/metadata").first().asDict()
+    v = spark.read.parquet(f"{path}/vectors")
+    if v.count() != meta["vectors"]:
+        raise ValueError("vectors and their record disagree")
+    return v, meta
+
+
 def load_nested(spark: SparkSession, path: str) -> DataFrame:
     """Messages of a nested JSON sink, one row each; a record of another shape fails."""
     schema = "source_file string, messages array<struct<message_id:bigint,timestamp:timestamp,sender:string,text:string,message_type:string,raw_line_start:int,raw_line_end:int>>, issues array<struct<line_no:int,line:string,reason:string>>"

@@ -52,6 +52,32 @@ def test_cached_stage(spark, tmp_path):
     assert len(made) == 2
 
 
+def test_large_files_are_split(spark, tmp_path):
+    text = "".join(f"[9/5/26, 7:{k % 60:02d}:{k // 60 % 60:02d} PM] {'You' if k % 3 else 'Mira'}: line {k}\nmore {k}\x0bstill {k}\n" for k in range(3000))
+    (tmp_path / "big.txt").write_text("before\n" + text, encoding="utf-8")
+    (tmp_path / "two words.txt").write_text("[9/5/26, 7:31 PM] You: hi", encoding="utf-8")
+    (tmp_path / "no.log").write_text("x")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        n = X.read_lines(spark, str(tmp_path))
+        whole = X.lines(X.read_exports(spark, str(tmp_path)))
+        assert rows(n.where("source_file = 'big.txt'")) == rows(whole.where("source_file = 'big.txt'")) and n.where("source_file = 'two words.txt'").count() == 1
+        m, bad = X.read_messages(spark, str(tmp_path))
+        assert m.count() == 3001 and bad.count() == 1 and m.where("source_file = 'big.txt'").agg({"raw_line_end": "max"}).first()[0] == 9001
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_vectors_with_their_record(spark, tmp_path):
+    v = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, 4.0])], "pair_id string, v array<double>")
+    assert X.write_vectors(v, str(tmp_path / "v"), "hashed") == {"model": "hashed", "vectors": 2, "dimension": 2}
+    back, meta = X.read_vectors(spark, str(tmp_path / "v"))
+    assert rows(back) == [("a", [1.0, 2.0]), ("b", [3.0, 4.0])] and meta["model"] == "hashed"
+    with pytest.raises(ValueError):
+        X.write_vectors(v.unionByName(spark.createDataFrame([("c", [1.0])], v.schema)), str(tmp_path / "w"), "hashed")
+
+
 def test_conversations_in_small_blocks(spark, monkeypatch):
     r = random.Random(3)
     t0 = datetime(2024, 1, 1)

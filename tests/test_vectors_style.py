@@ -74,6 +74,12 @@ def test_exemplars_and_search(spark):
     r = S.search(i, np.eye(16)[1].tolist(), 3, category=1).collect()
     assert len(r) == 3 and all(int(x["pair_id"][1:]) % 3 == 1 for x in r)
     assert len(S.search(i, np.eye(16)[1].tolist(), 3, category=99).collect()) == 3
+    both = i.withColumn("context_v", F.reverse("v"))
+    by = {m: S.search(both, np.eye(16)[1].tolist(), 3, mode=m).orderBy("rank").first() for m in S.MODES}
+    assert by["response"]["similarity"] > 0.9 and by["context"]["similarity"] < 0.5 and by["hybrid"]["similarity"] < by["response"]["similarity"]
+    assert S.search(both, [0.0] * 16).count() == 0 and S.search(both.limit(0), np.eye(16)[1].tolist()).count() == 0
+    with pytest.raises(ValueError):
+        S.search(i, np.eye(16)[1].tolist(), mode="context")
     g = spark.createDataFrame([("",), ("ok!",), ("😂",), ("word",), ("two words",)], "t string").select(S.retrieval_gate(F.col("t")).alias("g"))
     assert [x["g"] for x in g.collect()] == ["empty", "trivial_ping", "no_words", "too_short", None]
 
