@@ -29,7 +29,7 @@ LEAST = 36  # successive words of an item that make a leak
 BAND = 16  # width of a band of diagonals; bands overlap by half
 COVER, SPAN = 14, 20  # item words in phrases found near each other in one band, and words from the first to the last of them, in a leak of the least length
 WINDOW, GAP = 40, 20  # item words in which these are counted, and words between two phrases of them
-CHUNK = 100_000  # document words looked at together
+CHUNK = 10_000  # document words looked at together, few enough for the arrays to stay in the cache
 ITEM_CHARS = 200_000_000  # the automaton of more text would not fit a worker
 
 _WORD = re.compile(r"[^\W_]+")
