@@ -248,6 +248,9 @@ SQL = {
     "act_transitions": F0 + f", d as (select unnest([{', '.join(_q(a) for a in ACTS)}]) as act), g as (select a.act as context_act, b.act as primary_act from d a, d b), n as (select context_act, primary_act, count(*) as n from f where context_act is not null group by 1, 2), j as (select context_act, primary_act, coalesce(n, 0) as turns from g left join n using (context_act, primary_act)) select *, case when sum(turns) over (partition by context_act) > 0 then round(turns / sum(turns) over (partition by context_act), 4) else 0.0 end as probability from j",
     "act_markers": F0 + _families("words", L.discourse),
     "situation_cues": F0 + _families("b", {"technical_collab": L.technical, "career_academic": L.career, "advice_probing": L.probing}).replace(" from f ", " from f1 "),
+    "situation_cues_all": F0 + f""", mk as (select 'acknowledgement' as family, unnest(list_filter(w, lambda x: list_contains({_l(L.acknowledgement)}, x))) as term from f1 where len(w) = 1 and {sql_word_count('t')} <= 3
+        union all select 'conflict_friction', unnest(list_filter(w, lambda x: list_contains({_l(L.conflict)}, x))) from f1 union all select 'casual_banter', unnest(regexp_extract_all(t, '[{L.humor_emoji}]')) from f1
+        """ + "".join(f" union all select '{k}', unnest(list_filter(b, lambda x: list_contains({_l(v)}, x))) from f1" for k, v in (("technical_collab", L.technical), ("career_academic", L.career), ("advice_probing", L.probing))) + ") select family, term, count(*) as uses, row_number() over (partition by family order by count(*) desc, term) as rank from mk group by 1, 2 qualify rank <= 10",
     "situations": F0 + f", d as (select unnest([{', '.join(_q(a) for a in SITUATIONS)}]) as situation) select situation, count(f.pair_id) as turns from d left join f using (situation) group by 1",
     "behavior_dimensions": F0 + ", " + _STACK + " select dimension, round(avg(score), 4) as score, count(*) as turns, round(least(1.0, count(*) / 500.0), 4)::double as confidence from s group by 1",
     "behavior_exemplars": F0 + ", " + _STACK + ", o as (select dimension, target_text, max(score) as score, min(pair_id) as pair_id from s where score > 0 group by 1, 2) select dimension, pair_id, target_text, round(score, 2) as score, row_number() over (partition by dimension order by score desc, pair_id, target_text) as rank from o qualify rank <= 5",

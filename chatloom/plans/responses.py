@@ -157,7 +157,9 @@ def failure_tags(spark: SparkSession, d: str) -> DataFrame:
 
 
 def failure_examples(spark: SparkSession, d: str) -> DataFrame:
-    return E.failure_examples(_evaluated(spark, d).dropDuplicates(["strategy", "pair_id"]))
+    """The first turns of each code; of several rows of one pair the one with the smallest codes counts."""
+    one = _evaluated(spark, d).groupBy("strategy", "pair_id").agg(F.min("failure_codes").alias("failure_codes"))
+    return E.failure_examples(one)
 
 
 def strategy_summary(spark: SparkSession, d: str) -> DataFrame:
@@ -295,6 +297,8 @@ SQL |= {
     "judge_prompts": CAND + f""", n as (select strategy, {len(_ASKED)} + length(case when {_ST("coalesce(context, '')")} = '' then '(No prior context)' else {_ST("coalesce(context, '')")} end) + length({_ST("coalesce(target, '')")}) + length({_ST("coalesce(candidate, '')")}) as n from cand) select strategy, count(*) as prompts, sum(n)::bigint as characters, max(n) as longest from n group by 1""",
     "judge_replies": "select * from (values " + ", ".join(f"({k}, " + ", ".join(f"{x}::double" for x in m[:-1]) + f", {str(m[-1]).lower()})" for k, (_, m) in enumerate(REPLIES)) + f") as t(case_no, {', '.join(E.AXES)}, overall_score, offline)",
     "failure_tags": EV + ", n as (select strategy, count(*) as a from ev group by 1) select strategy, code, count(*) as turns, round(count(*) / any_value(a), 4) as rate from (select strategy, unnest(codes) as code from ev) join n using (strategy) group by 1, 2",
+    "failure_examples": EV + ", fo as (select strategy, pair_id, min(codes) as codes from ev group by 1, 2), fu as (select strategy, pair_id, unnest(codes) as code from fo) select strategy, pair_id, code, row_number() over (partition by strategy, code order by pair_id) as rank from fu qualify rank <= 3",
+    "artifact_audit": "select name, expression, 0::bigint as hits from (values ('report.md'), ('situations.json'), ('style_profile.json'), ('system_prompt.txt'), ('traits.json')) as n(name), (values ('email'), ('financial_id'), ('mobile_number')) as e(expression)",
     "behaviour_gap": BEH + " select strategy, count(*) as turns, round(avg(mae), 4) as mae, round(avg(cosine), 4) as cosine, round(avg(behaviour), 4) as behaviour from beh group by 1",
     "strategy_summary": EV + ", " + BEH[len(CAND) + 2 :] + f""", bm as (select strategy, round(avg(behaviour), 4) as behaviour from beh group by 1), fc as (select strategy, code, count(*) as turns, row_number() over (partition by strategy order by count(*) desc, code) as r from (select strategy, unnest(codes) as code from ev) group by 1, 2 qualify r <= 5),
         tf as (select strategy, string_agg(code || '=' || turns, ',' order by r) as top_failures from fc group by 1), sm as (select strategy, count(*) as turns, {_AV('composite', 'judged', 'jaccard', 'length')}, count(*) filter (len(codes) > 0) as failed, count(*) filter (len(codes) = 0) as clean, round(avg((len(codes) > 0)::int), 4) as failure_rate from ev group by 1)
