@@ -1,13 +1,18 @@
 """Clusters of similar vectors by density peaks, with blocked neighbour joins.
 
-Density of a record is its number of neighbours within the threshold; each record points to the nearest denser
-neighbour its block joins show it; records without one are peaks, and pointers followed to the peaks give labels.
+Density of a record is its number of neighbours within the threshold; each record points to its nearest denser
+neighbour; records without one are peaks, and pointers followed to the peaks give labels. Neither densities nor labels
+depend on cores, blocks or samples.
 
-Not all pairs are looked at. Around centres found in bounded samples, round by round among the records still outside
-until few are left or none can be taken, records within half the threshold angle of a centre form its core, where
+Not all pairs are looked at for densities. Around centres found in bounded samples, round by round among the records
+still outside until few are left or none can be taken, records within half the threshold angle of a centre form its core, where
 any two are neighbours for sure. A record can only have a neighbour in another core if
 its own angle to that centre is small enough; only then is it joined with the core, block by block. Records outside
 all cores are joined with each other in a grid of blocks. Joins return sums and best neighbours, never pairs.
+
+Records with the same neighbours, who are nobody else than these records, are a closed group: all its pointers end at
+its densest record, whichever way they go. Nearest denser neighbours are looked for among the other records only, in
+the same joins and in a grid of blocks inside each core.
 """
 
 from __future__ import annotations
@@ -29,8 +34,10 @@ LEAST_GAIN = 0.02  # rounds of looking for centres go on while they take so much
 BLOCK = 4096  # records on a side of a block
 CELLS = 1 << 24  # similarities held at once while records are compared with centres
 HASH_BITS = 40  # neighbours are summed up by hashes of so many bits, exactly in float64 within a block
+DIGITS = 9  # cosines that agree in so many decimals are equally near
 
 _NBR = "id string, cnt long, hsum long"
+_UP = "id string, sim double, rank long, parent string"
 
 
 def usable(vectors: DataFrame, key: str, vec: str, dim: int) -> DataFrame:
@@ -147,8 +154,11 @@ def placed(rows: DataFrame, centres: np.ndarray, tau: float) -> DataFrame:
     return rows.withColumn("p", F.pandas_udf(run, "core int, visits array<int>")(F.col("v"))).select("id", "h", "v", "p.core", "p.visits")
 
 
-def _grids(p: DataFrame, sizes: dict[int, int], extra: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Left and right sides of all block joins, with unit (g, i, j): visitors against cores, the rest against itself."""
+def _grids(p: DataFrame, sizes: dict[int, int], extra: list[str], inside: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Left and right sides of all block joins, with unit (g, i, j): visitors against cores, the rest against itself.
+
+    With `inside`, each core against itself as well; such a grid has g below -1, that of the rest -1.
+    """
     cols = ["id", "h", "v", *extra]
     spark = p.sparkSession
     blocks = {g: max(1, -(-n // BLOCK)) for g, n in sizes.items()}
@@ -161,10 +171,10 @@ def _grids(p: DataFrame, sizes: dict[int, int], extra: list[str]) -> tuple[DataF
     right = p.where("core >= 0").select(*cols, F.col("core").alias("g")).join(dims, "g")
     right = right.withColumn("j", block("nb")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("nvb") - 1)))
     left = visitors.join(dims, "g").withColumn("i", block("nvb")).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    nb = blocks.get(-1, 1)
-    rest = p.where("core < 0").select(*cols, F.lit(-1).alias("g"), F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(nb)).cast("int").alias("b"))
-    rl = rest.withColumn("i", F.col("b")).withColumn("j", F.explode(F.sequence(F.col("b"), F.lit(nb - 1))))
-    rr = rest.withColumn("j", F.col("b")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("b"))))
+    same = p if inside else p.where("core < 0")
+    same = same.join(F.broadcast(n), F.col("core") == F.col("g")).select(*cols, (F.lit(-2) - F.col("core")).alias("g"), "nb", block("nb").alias("b"))
+    rl = same.withColumn("i", F.col("b")).withColumn("j", F.explode(F.sequence(F.col("b"), F.col("nb") - 1)))
+    rr = same.withColumn("j", F.col("b")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("b"))))
     keep = [*cols, "g", "i", "j"]
     fresh = [F.col(c).alias(c) for c in keep]  # both sides come from one table; a cogroup needs columns of their own
     return left.select(*keep).unionByName(rl.select(*keep)).select(*fresh), right.select(*keep).unionByName(rr.select(*keep)).select(*fresh)
@@ -194,49 +204,39 @@ def _counts(tau: float):
 
 
 def _denser(tau: float):
-    """Nearest denser neighbour of each record on either side of a block join."""
+    """Nearest denser neighbour of each record on either side of a block join; of equally near ones the densest."""
+
+    def unit(side: pd.DataFrame) -> np.ndarray:
+        m = matrix(side["v"]).astype("float64")
+        return m / np.linalg.norm(m, axis=1, keepdims=True)
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"id": [], "sim": [], "parent": []}).astype({"id": object, "sim": "float64", "parent": object})
+        none = pd.DataFrame({"id": [], "sim": [], "rank": [], "parent": []}).astype({"id": object, "sim": "float64", "rank": "int64", "parent": object})
         if not len(left) or not len(right):
             return none
-        a, b, ra, rb = matrix(left["v"]), matrix(right["v"]), left["rank"].to_numpy("int64"), right["rank"].to_numpy("int64")
+        # the densest come first on both sides, so the first of equal cosines is the densest; equal ranks go by id
+        place = {x: k for k, x in enumerate(sorted({*zip(left["rank"], left["id"]), *zip(right["rank"], right["id"])}))}
+        left, right = (x.assign(place=[place[y] for y in zip(x["rank"], x["id"])]).sort_values("place", ascending=False) for x in (left, right))
+        pa, pb = left["place"].to_numpy(), right["place"].to_numpy()
+        a, b, ra, rb = unit(left), unit(right), left["rank"].to_numpy("int64"), right["rank"].to_numpy("int64")
         la, lb = left["id"].to_numpy(), right["id"].to_numpy()
         parts, best, who = [], np.full(len(b), -2.0), np.zeros(len(b), int)
         for k in range(0, len(a), 1024):
             s, m = close(a[k : k + 1024], b, tau)
-            up = np.where(m & (rb[None, :] > ra[k : k + 1024, None]), s, -2.0)
+            s = np.where(m, s.round(DIGITS), -2.0)
+            up = np.where(pb[None, :] > pa[k : k + 1024, None], s, -2.0)
             j = up.argmax(1)
             v = up[np.arange(len(j)), j]
-            parts.append(pd.DataFrame({"id": la[k : k + 1024], "sim": v, "parent": lb[j]})[v > -2])
-            down = np.where(m & (rb[None, :] < ra[k : k + 1024, None]), s, -2.0)
+            parts.append(pd.DataFrame({"id": la[k : k + 1024], "sim": v, "rank": rb[j], "parent": lb[j]})[v > -2])
+            down = np.where(pb[None, :] < pa[k : k + 1024, None], s, -2.0)
             i = down.argmax(0)
             v = down[i, np.arange(len(i))]
             better = v > best
             best, who = np.where(better, v, best), np.where(better, i + k, who)
         hit = best > -2
-        parts.append(pd.DataFrame({"id": lb[hit], "sim": best[hit], "parent": la[who[hit]]}))
-        return pd.concat(parts).astype({"sim": "float64"})
-
-    return run
-
-
-def _in_core(tops: dict[int, tuple[int, str]]):
-    """Nearest denser record of each record of a core within its block; the first of a block points to the core's first."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        v, rank, ids = matrix(pdf["v"]), pdf["rank"].to_numpy("int64"), pdf["id"].to_numpy()
-        sim, parent = np.full(len(v), -2.0), np.full(len(v), None, object)
-        for k in range(0, len(v), 1024):
-            s = np.where(rank[None, :] > rank[k : k + 1024, None], v[k : k + 1024] @ v.T, -2.0)
-            j = s.argmax(1)
-            sim[k : k + 1024] = s[np.arange(len(j)), j]
-            parent[k : k + 1024] = ids[j]
-        alone = sim <= -2
-        top = tops[int(pdf["core"].iloc[0])][1]
-        sim[alone], parent[alone] = 0.0, top
-        keep = parent != ids
-        return pd.DataFrame({"id": ids[keep], "sim": sim[keep].astype("float64"), "parent": parent[keep]})
+        parts.append(pd.DataFrame({"id": lb[hit], "sim": best[hit], "rank": ra[who[hit]], "parent": la[who[hit]]}))
+        parts = [x for x in parts if len(x)]
+        return pd.concat(parts) if parts else none
 
     return run
 
@@ -246,7 +246,8 @@ def density_peaks(vectors: DataFrame, key: str = "pair_id", vec: str = "vectors"
 
     density counts the record itself and its neighbours of cosine tau or more, hsum sums up their hashes, so records
     with equal hsum have the same neighbours; peak is the id of the record's density peak. Null, wrongly sized, zero
-    and not finite vectors are left out; a repeated id counts once. Ties in density are broken by a hash of the id.
+    and not finite vectors are left out; a repeated id counts once. Ties in density are broken by a hash of the id, then
+    by the id; of several nearest denser neighbours the densest counts.
     """
     spark = vectors.sparkSession
     rows = persisted(usable(vectors, key, vec, dim), "unit-vectors")
@@ -263,14 +264,15 @@ def density_peaks(vectors: DataFrame, key: str = "pair_id", vec: str = "vectors"
     rank = F.col("density") * F.lit(1 << HASH_BITS) + F.lit((1 << HASH_BITS) - 1) - F.col("h")
     d = persisted(p.join(dens, "id").withColumn("rank", rank), "density")
 
-    tops = d.where("core >= 0").groupBy("core").agg(F.max(F.struct("rank", "id")).alias("t"))  # one row per centre
-    tops = {r["core"]: (r["t"]["rank"], r["t"]["id"]) for r in tops.collect()}
-    left, right = _grids(d, sizes, ["rank"])
-    up = unit(left).cogroup(unit(right)).applyInPandas(_denser(tau), "id string, sim double, parent string")
-    nb = F.broadcast(spark.createDataFrame([(g, max(1, -(-n // BLOCK))) for g, n in sizes.items()], "core int, nb int"))
-    inner = d.where("core >= 0").join(nb, "core").withColumn("b", F.pmod(F.xxhash64(F.lit(7), "id"), F.col("nb")))
-    inner = inner.select("core", "b", "id", "v", "rank").groupBy("core", "b").applyInPandas(_in_core(tops), "id string, sim double, parent string")
-    best = up.unionByName(inner).groupBy("id").agg(F.max(F.struct("sim", "parent")).alias("m")).select("id", F.col("m.parent").alias("parent"))
+    alone = F.col("density") == 1
+    closed = d.where(~alone).groupBy("density", "hsum").agg(F.count(F.lit(1)).alias("n"), F.sum("h").alias("hs"), F.max(F.struct("rank", "id")).alias("t"))
+    closed = persisted(closed.where((F.col("n") == F.col("density")) & (F.col("hs") == F.col("hsum"))).select("density", "hsum", F.col("t.id").alias("parent")), "closed")
+    ends = d.select("id", "density", "hsum").join(closed, ["density", "hsum"]).select("id", "parent")
+    o = persisted(d.where(~alone).join(closed, ["density", "hsum"], "left_anti").select("id", "h", "v", "core", "visits", "rank"), "open")
+    sizes = {r["core"]: r["count"] for r in o.groupBy("core").count().collect()}  # one row per centre
+    left, right = _grids(o, sizes, ["rank"], inside=True)
+    up = unit(left).cogroup(unit(right)).applyInPandas(_denser(tau), _UP)
+    best = up.groupBy("id").agg(F.max(F.struct("sim", "rank", "parent")).alias("m")).select("id", F.col("m.parent").alias("parent")).unionByName(ends)
     pointers = d.select("id").join(best, "id", "left").select(F.col("id").alias("node"), F.coalesce("parent", "id").alias("parent"))
     labels = roots_of(persisted(pointers, "denser")).select(F.col("node").alias("id"), F.col("parent").alias("peak"))
     return d.select("id", "v", "density", "hsum", "h").join(labels, "id")

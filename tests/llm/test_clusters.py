@@ -1,5 +1,6 @@
 import numpy as np
 
+from chatloom.llm import clusters
 from chatloom.llm.clusters import cluster_members, density_peaks, described, exact_groups
 from tests.conftest import rows
 
@@ -51,3 +52,39 @@ def test_description_and_empty(spark):
     top = {r["size"]: r["typical"] for r in described(m).collect()}
     assert len(top[40]) == 3 and top[40][0]["similarity"] >= top[40][2]["similarity"] > 0.9
     assert density_peaks(df.limit(0)).count() == 0
+
+
+def spread_out(seed=5, n=1500):
+    """Records all over a sphere of three dimensions, so that cores touch everywhere, and repeated vectors."""
+    r = np.random.default_rng(seed)
+    out = [(f"s_{k:04d}", (r.normal(size=3) @ np.eye(64)[:3]).astype("float32").tolist()) for k in range(n)]
+    return out + [(f"twin_{k}", v) for k, (_, v) in enumerate(out[:40])]
+
+
+def brute_peaks(d, h, tau=0.75):
+    """Peak of each id by the nearest denser neighbour among all pairs; of equally near ones the densest."""
+    ks = sorted(k for k, _ in d)
+    v = dict(d)
+    m = np.array([v[k] for k in ks], "float64")
+    m /= np.linalg.norm(m, axis=1, keepdims=True)
+    s = (m @ m.T).round(9)
+    n = (s >= tau).sum(1)
+    rank = [(int(n[i]), -h[k], k) for i, k in enumerate(ks)]
+    parent = []
+    for i in range(len(ks)):
+        up = [(s[i, j], rank[j], j) for j in np.flatnonzero(s[i] >= tau) if rank[j] > rank[i]]
+        parent.append(max(up)[2] if up else i)
+    for _ in ks:
+        parent = [parent[j] for j in parent]
+    return {k: ks[parent[i]] for i, k in enumerate(ks)}
+
+
+def test_labels_do_not_depend_on_blocks(spark, monkeypatch):
+    d = spread_out()
+    df = spark.createDataFrame(d, "pair_id string, vectors array<float>")
+    for block, sample in ((4096, 4096), (16, 4096)):
+        monkeypatch.setattr(clusters, "BLOCK", block)
+        p = density_peaks(df, sample=sample).collect()
+        want = brute_peaks(d, {r["id"]: r["h"] for r in p})
+        assert len(set(want.values())) > 1
+        assert {r["id"]: r["peak"] for r in p} == want, (block, sample)
