@@ -10,46 +10,36 @@ from pyspark.sql import functions as F
 from chatloom.functions import text as T
 from chatloom.functions.lexicons import DEFAULT
 from chatloom.operators import vectors as V
-from chatloom.runtime import persisted
+from chatloom.operators.lloyd import Blocks, labelled
 
 
 SEEDS = tuple(range(42, 52))
 ITERATIONS = 300
 
 
-def kmeans(rows: DataFrame, k: int, seeds: tuple[int, ...] = SEEDS, iterations: int = ITERATIONS, key: str = "pair_id") -> tuple[DataFrame, list[list[float]], float]:
-    """(key, cluster_id), unit centres and cost of the cheapest of several runs."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    f = rows.select(key, array_to_vector("v").alias("features"))
-    best = None
-    for s in seeds:
-        m = KMeans(k=k, seed=s, maxIter=iterations).fit(f)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    m, cost = best
+def kmeans(rows: DataFrame | Blocks, k: int, seeds: tuple[int, ...] = SEEDS, iterations: int = ITERATIONS, key: str = "pair_id") -> tuple[DataFrame, list[list[float]], float]:
+    """(key, cluster_id), unit centres and cost of the cheapest of several runs; of blocks those that were fitted before."""
+    b = rows if isinstance(rows, Blocks) else Blocks(rows, key)
+    f = b.fit([k], seeds, iterations).get(k, {"centres": [], "cost": 0.0})
     centres = []
-    for c in m.clusterCenters():
+    for c in (m + b.origin for m in f["centres"]):
         n = float((c * c).sum()) ** 0.5 or 1.0
         centres.append([float(x) / n for x in c])
-    return m.transform(f).select(key, F.col("prediction").alias("cluster_id")), centres, cost
+    return labelled(b.rows, f["centres"], b.origin, key), centres, f["cost"]
 
 
 def sweep(rows: DataFrame, ks: Iterable[int], seeds: tuple[int, ...] = SEEDS, key: str = "pair_id") -> DataFrame:
-    """k, inertia, silhouette, calinski_harabasz for each k from 2 up to less than the number of rows."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-    from pyspark.ml.functions import array_to_vector
-
-    rows = persisted(rows, "swept")
-    n, out = rows.count(), []
-    for k in (k for k in ks if 2 <= k < n):
-        labels, _, cost = kmeans(rows, k, seeds, key=key)
-        d = rows.join(labels, key).withColumn("features", array_to_vector("v"))
-        s = ClusteringEvaluator(predictionCol="cluster_id", distanceMeasure="cosine").evaluate(d)
-        ch = calinski_harabasz(d.select("v", "cluster_id")).first()["calinski_harabasz"]
-        out.append((k, float(cost), round(float(s), 4), round(float(ch), 4)))
+    """k, inertia, silhouette, calinski_harabasz for each k from 2 up to less than the number of rows.
+
+    All runs of all k go over the rows together.
+    """
+    b, out = Blocks(rows, key), []
+    ks = [k for k in ks if 2 <= k < b.n]
+    quality = b.quality(b.fit(ks, seeds, ITERATIONS))
+    for k in ks:
+        cost = kmeans(b, k, seeds, key=key)[2]
+        s, ch = quality[k]
+        out.append((k, float(cost), round(s, 4), round(float(ch), 4)))
     return rows.sparkSession.createDataFrame(out, "k int, inertia double, silhouette double, calinski_harabasz double")
 
 
