@@ -92,12 +92,16 @@ def _drawn(runs: list[tuple[int, int, np.ndarray]], turn: int) -> Callable:
 
 
 def _weights(runs: list[np.ndarray]) -> Callable:
-    """Rows nearest to each centre."""
+    """Rows nearest to each centre; in single precision, as they only weigh the first centres."""
 
     def step(acc, x, h):
-        acc, xt = acc or [np.zeros(len(c)) for c in runs], np.ascontiguousarray(x.T)
-        for w, c in zip(acc, runs):
-            w += np.bincount(_scores(c, xt).argmin(0), minlength=len(c))
+        acc = acc or [np.zeros(len(c)) for c in runs]
+        with np.errstate(over="ignore", invalid="ignore"):
+            yt = np.ascontiguousarray(x.T.astype("f4"))
+            for w, c in zip(acc, runs):
+                s = _scores(c.astype("f4"), yt)
+                n = (s == s.min(0)).sum(1)
+                w += n if n.sum() == len(x) else np.bincount(_scores(c, x.T).argmin(0), minlength=len(c))
         return acc
 
     return step
@@ -274,7 +278,7 @@ class Blocks:
                 now_at = [centres[r].astype("f4" if rough[r] else "f8") for r in live]
             for r, (now, n, total) in zip(live, self._summed(now_at)):
                 left[r] -= 1
-                if rough[r] and not now < cost[r] * (1 - 1e-6):
+                if rough[r] and not now < cost[r] * (1 - 1e-8):
                     rough[r] = False
                     continue
                 m = np.where(n[:, None] > 0, total / np.maximum(n, 1)[:, None], centres[r])

@@ -37,6 +37,11 @@ def test_best_cluster_k(spark, monkeypatch):
     assert [g[0] for g in got] == [8] and got[0][2] > 0.9
 
 
+def test_best_topic_k(spark, monkeypatch):
+    got = swept_together(spark, monkeypatch, "best_topic_k")
+    assert [g[0] for g in got] == [8] and got[0][2] > 0.9
+
+
 def test_fits_are_the_rows_own_optimum(spark):
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
