@@ -42,6 +42,11 @@ def test_best_topic_k(spark, monkeypatch):
     assert [g[0] for g in got] == [8] and got[0][2] > 0.9
 
 
+def test_kmeans_sweep(spark, monkeypatch):
+    got = swept_together(spark, monkeypatch, "kmeans_sweep")
+    assert [g[0] for g in got] == list(range(6, 19)) and max(got, key=lambda g: g[2])[0] == 8
+
+
 def test_topic_sweep(spark, monkeypatch):
     got = swept_together(spark, monkeypatch, "topic_sweep")
     assert [g[0] for g in got] == list(range(5, 13)) and max(got, key=lambda g: g[2])[0] == 8
